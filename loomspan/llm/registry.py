@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, pii, quality
+from . import bpe, chat, decontaminate, neardup, pii, quality, repeats, toxicity
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
+    "op2_toxicity": toxicity.op2_toxicity,
     "op3_pii": pii.op3_pii,
     "op4_chat_format": chat.op4_chat_format,
     "op5_quality_rules": quality.op5_quality_rules,
+    "op7_suffix_array_dedup": repeats.op7_suffix_array_dedup,
+    "op8_minhash_near_dedup": neardup.op8_minhash_near_dedup,
     "op10_decontaminate": decontaminate.op10_decontaminate,
 }
 ORACLE_SQL = {
     "op4_chat_format": chat.ORACLE_SQL,
     "op5_quality_rules": quality.ORACLE_SQL,
+    "op8_minhash_near_dedup": neardup.ORACLE_SQL,
     "op10_decontaminate": decontaminate.ORACLE_SQL,
 }
