@@ -290,24 +290,29 @@ def decode(rows: DataFrame, ranks: str | None = None, ids: str = "ids") -> DataF
     return packed.mapInArrow(run, T.StructType([*packed.schema.fields, T.StructField("decoded", T.StringType())]))
 
 
-def round_trip(docs: DataFrame, ranks: str | None = None) -> DataFrame:
-    """_row, n_tokens, ids_sha256 and decoded_sha256 of each row of docs; ids stay in the worker."""
+def round_trip(docs: DataFrame, ranks: str | None = None, keep: bool = False) -> DataFrame:
+    """_row, n_tokens, ids_sha256 and decoded_sha256 of each row of docs; ids stay in the worker, or come along as ids array<int> (keep)."""
     ranks = ranks or rank_file()
     source = _source(docs.sparkSession, ranks)
 
     def run(col: pa.Array) -> dict[str, pa.Array]:
         bpe, decoder = _once("bpe" + ranks, lambda: Bpe(source.value)), _once("dec" + ranks, lambda: Decoder.of_ranks(ranks))
-        n, a, b = [], [], []
+        n, a, b, flat = [], [], [], []
         for k in range(0, len(col), 512):
             ids, at = bpe.encode(col.slice(k, 512).to_pylist())
             ids = ids.astype("<u4")
+            flat += [ids] * keep
             for i, j in zip(at[:-1], at[1:]):
                 n.append(j - i)
                 a.append(hashlib.sha256(ids[i:j].tobytes()).hexdigest())
                 b.append(hashlib.sha256(decoder.decode_bytes(ids[i:j])).hexdigest())
-        return {"n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(a, pa.string()), "decoded_sha256": pa.array(b, pa.string())}
+        out = {"n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(a, pa.string()), "decoded_sha256": pa.array(b, pa.string())}
+        if keep:
+            at = pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
+            out["ids"] = pa.ListArray.from_arrays(at, pa.array(np.concatenate([*flat, np.zeros(0, "<u4")]).astype(np.int32)))
+        return out
 
-    return with_columns(docs, run, "n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return with_columns(docs, run, "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep)
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Near-duplicates by SetSketch registers.
 
-A document's set is its distinct shingles of three words (A-Z to a-z; words
+A document's set is its distinct shingles of `width` words (A-Z to a-z; words
 ``[^\\x20\\x09-\\x0D]+``).  Each of m registers keeps the smallest point of a
 Poisson process that the shingle's hash drives, on an exponential scale with
 base `BASE` and truncated to 16 bits: registers of a union are the larger of
@@ -18,11 +18,12 @@ drawn, so a set costs about m * (ln m + 10) points whatever its size.
    largest component with every class of another one.  Pairs inside a component
    can change nothing, so no group is expanded into all its pairs.
 
-Sets of fewer than 6 shingles can only be linked with equal ones.  Hashes of
+Sets so small that one shingle more is too much (fewer than 6 at 0.85) can only
+be linked with equal ones.  Hashes of
 shingles have 64 bits, digests of sets 128.
 
 Defined results: a null or empty text has no shingles and is linked with
-nothing; fewer than three words are one shingle; rows of one doc_id are one
+nothing; fewer than `width` words are one shingle; rows of one doc_id are one
 document if their sets are equal; a null doc_id never names a component; an
 empty table gives an empty result; other columns do not matter.
 """
@@ -43,12 +44,11 @@ from .components import components
 ROWS, BANDS = 5, 32
 REGISTERS = ROWS * BANDS
 BASE = 1.01
-SIMILAR = (85, 100)
-SMALL = 6
+WIDTH, SIMILAR = 3, (85, 100)
 _GOLD = U64(0x9E3779B97F4A7C15)
 
 
-def shingle_sets(data: np.ndarray, starts: np.ndarray, width: int = 3) -> list[np.ndarray]:
+def shingle_sets(data: np.ndarray, starts: np.ndarray, width: int = WIDTH) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     data = LOWER[data]
     begin, end, first = spans_of(NOT_SPACE, data, starts)
@@ -106,6 +106,11 @@ def _chance(x: np.ndarray) -> np.ndarray:
     return -np.log1p(-np.clip(x, 0, 1) * (BASE - 1) / BASE) / np.log(BASE)
 
 
+def _small(similar: tuple[int, int]) -> int:
+    """The least size of a set that a set of one shingle more can be similar to."""
+    return -(-similar[0] // (similar[1] - similar[0])) if similar[0] < similar[1] else 1 << 60
+
+
 def likely(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, similar: float = SIMILAR[0] / SIMILAR[1], slack: float = 16.0) -> np.ndarray:
     """Which pairs may have that similarity: the best log-likelihood at or above it is within `slack` of the best at all.
 
@@ -123,18 +128,18 @@ def likely(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, simil
     return (top[:, 0] >= similar) & (high >= value.max(axis=1) - slack)
 
 
-def sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, digest (null: no shingles), bands and registers (null: fewer than 6 shingles)."""
+def sketched(docs: DataFrame, width: int = WIDTH, small: int = _small(SIMILAR)) -> DataFrame:
+    """doc_id, n_shingles, digest (null: no shingles), bands and registers (null: fewer than `small` shingles)."""
 
     def run(batches):
         for batch in batches:
             data, starts = utf8(pc.fill_null(batch.column(1), ""))
             size, digest, bands, regs = [], [], [], []
             for i, j in passes(starts):
-                sets = shingle_sets(data[starts[i] : starts[j]], starts[i : j + 1] - starts[i])
+                sets = shingle_sets(data[starts[i] : starts[j]], starts[i : j + 1] - starts[i], width)
                 size += [len(s) for s in sets]
                 digest += [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
-                large = [k for k, s in enumerate(sets) if len(s) >= SMALL]
+                large = [k for k, s in enumerate(sets) if len(s) >= small]
                 got = registers([sets[k] for k in large])
                 key = np.zeros((len(large), BANDS), U64)
                 for r in range(ROWS):
@@ -150,7 +155,7 @@ def sketched(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n_shingles long, digest binary, bands array<long>, registers binary")
 
 
-def _promising(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+def _promising(pairs: DataFrame, sketches: DataFrame, similar: tuple[int, int]) -> DataFrame:
     """The pairs (a, b) that the registers do not rule out."""
     side = lambda x: sketches.select(F.col("doc_id").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("registers").alias(f"r_{x}"))
 
@@ -160,19 +165,19 @@ def _promising(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
                 continue
             col = {n: batch.column(k) for k, n in enumerate(batch.schema.names)}
             regs = lambda x: np.frombuffer(b"".join(col[x].to_pylist()), np.int16).reshape(-1, REGISTERS)
-            keep = likely(regs("r_a"), regs("r_b"), col["n_a"].to_numpy().astype(float), col["n_b"].to_numpy().astype(float))
+            keep = likely(regs("r_a"), regs("r_b"), col["n_a"].to_numpy().astype(float), col["n_b"].to_numpy().astype(float), similar[0] / similar[1])
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "r_a", "r_b").mapInArrow(run, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, similar: tuple[int, int]) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     side = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"t_{x}"))
 
     def sets_of(col: pa.Array) -> list[np.ndarray]:
         data, starts = utf8(pc.fill_null(col, ""))
-        return [s for i, j in passes(starts) for s in shingle_sets(data[starts[i] : starts[j]], starts[i : j + 1] - starts[i])]
+        return [s for i, j in passes(starts) for s in shingle_sets(data[starts[i] : starts[j]], starts[i : j + 1] - starts[i], width)]
 
     def run(batches):
         for batch in batches:
@@ -186,15 +191,18 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 keep = []
                 for a, b in zip(*sides):
                     common = len(np.intersect1d(a, b, assume_unique=True))
-                    keep.append(SIMILAR[1] * common >= SIMILAR[0] * (len(a) + len(b) - common))
+                    keep.append(similar[1] * common >= similar[0] * (len(a) + len(b) - common))
                 yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "t_a", "t_b").mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id of each row of docs (doc_id, text and any other columns)."""
-    rows = stored(sketched(docs), "sketches")
+def near_duplicates(docs: DataFrame, width: int = WIDTH, similar: tuple[int, int] = SIMILAR) -> DataFrame:
+    """doc_id, n_shingles and component_id of each row of docs (doc_id, text and any other columns).
+
+    width: words of a shingle; similar: the least Jaccard similarity of a link, as a fraction.
+    """
+    rows = stored(sketched(docs, width, _small(similar)), "sketches")
     classes = stored(rows.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n")).where("n > 1 and class_id is not null"), "classes")
     later = rows.join(classes, "digest", "left").where("class_id is null or class_id = doc_id").where("bands is not null and doc_id is not null")
     sketches = stored(later.dropDuplicates(["doc_id", "digest"]).select("doc_id", "n_shingles", "bands", "registers"), "reps")
@@ -204,7 +212,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(buckets.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
 
     tried = buckets.where("doc_id <> head").select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = stored(_confirmed(_promising(tried, sketches), texts), "confirmed")
+    links = stored(_confirmed(_promising(tried, sketches, similar), texts, width, similar), "confirmed")
     found = components(links)
 
     labelled = buckets.join(found, F.col("doc_id") == F.col("node"), "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
@@ -216,7 +224,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     two = sized.select(F.col("key").alias("k2"), F.col("doc_id").alias("y"), F.col("component").alias("cy"), "main")
     rest = one.join(two, (F.col("key") == F.col("k2")) & (F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("main")) | (F.col("x") < F.col("y"))))
     rest = rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    more = stored(_confirmed(_promising(rest, sketches), texts), "confirmed")
+    more = stored(_confirmed(_promising(rest, sketches, similar), texts, width, similar), "confirmed")
     if more.limit(1).count():
         found = components(links.union(more))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, neardup, pii, quality, repeats, toxicity
+from . import bpe, chat, decontaminate, neardup, pii, quality, repeats, secret_scan, token_file, toxicity
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
@@ -10,8 +10,10 @@ QUERIES = {
     "op3_pii": pii.op3_pii,
     "op4_chat_format": chat.op4_chat_format,
     "op5_quality_rules": quality.op5_quality_rules,
+    "op6_token_file": token_file.op6_token_file,
     "op7_suffix_array_dedup": repeats.op7_suffix_array_dedup,
     "op8_minhash_near_dedup": neardup.op8_minhash_near_dedup,
+    "op9_secret_scan": secret_scan.op9_secret_scan,
     "op10_decontaminate": decontaminate.op10_decontaminate,
 }
 ORACLE_SQL = {
