@@ -1 +1,3 @@
-"""A PySpark-native engine for agent conversation traces."""
+"""Traces of coding agents, from logs to training data, on Spark."""
+
+__version__ = "0.1.0"
