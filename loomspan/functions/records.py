@@ -44,12 +44,12 @@ def _tagged(tag: str, attribute: str, value, body: str) -> str:
 
 def _rendered(tag: str, item: dict) -> str:
     whole = lambda: sorted_json(item)
+    if tag == "diff_history" or not isinstance(item, dict):
+        return _tagged(tag, "", None, whole())
     if tag == "tool_use":
         return _tagged(tag, "name", item.get("name", ""), sorted_json(item.get("input", item)))
     if tag == "tool_result":
         return _tagged(tag, "type", item.get("type", ""), str(item["text"]) if "text" in item else whole())
-    if tag == "diff_history":
-        return _tagged(tag, "", None, whole())
     inner = "code" if tag == "code_context" else "diff"
     return _tagged(tag, "file", item.get("file", item.get("path", "")), str(item[inner]) if inner in item else whole())
 

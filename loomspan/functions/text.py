@@ -76,15 +76,24 @@ def utc_day(seconds: Column) -> Column:
     return F.date_format(F.timestamp_seconds(seconds), "yyyy-MM-dd")
 
 
+def let(value: Column, make) -> Column:
+    """make(value), with value computed once however often make uses it: chains of such steps stay small."""
+    return F.element_at(F.transform(F.array(value), make), 1)
+
+
 def replace_matches(text: Column, pattern: str, make) -> Column:
     """text with each match m replaced by make(m): what stands between matches, and the matches, by turns.
 
     split() and regexp_extract_all() step through the same matches, so that equal
     matches need no second search.
     """
-    between, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    parts = F.transform(F.sequence(F.lit(1), F.size(between)), lambda i: F.concat(F.element_at(between, i), F.when(i <= F.size(found), make(F.try_element_at(found, i))).otherwise("")))
-    return F.when(text.rlike(pattern), F.array_join(parts, "")).otherwise(text)
+
+    def put(t: Column) -> Column:
+        parts = F.struct(F.split(t, pattern, -1).alias("between"), F.regexp_extract_all(t, F.lit(pattern), F.lit(0)).alias("found"))
+        joined = let(parts, lambda p: F.array_join(F.transform(p["between"], lambda x, i: F.concat(x, F.when(i < F.size(p["found"]), make(F.try_element_at(p["found"], i + 1))).otherwise(""))), ""))
+        return F.when(t.rlike(pattern), joined).otherwise(t)
+
+    return let(text, put)
 
 
 def snippet(text: Column, start: Column, end: Column, around: int = 60, most: int = 200) -> Column:

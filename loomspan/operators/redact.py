@@ -52,7 +52,8 @@ CREDENTIALS = {
     "api_key_json_field": (r"(?i)([\"'](?:api[_-]?key|access[_-]?token|client[_-]?secret|secret[_-]?key)[\"']\s*:\s*[\"'])[^\"'\[]{6,}", r"\1[SECRET:API_KEY]"),
     "api_key_assignment": (r"(?i)(\b(?:api[_-]?key|access[_-]?token|client[_-]?secret|secret[_-]?key)\s*=\s*[\"']?)[A-Za-z0-9_./+=-]{8,}", r"\1[SECRET:API_KEY]"),
 }
-PROVISIONAL = r"\[([A-Z_]+):0000:([0-9a-f]{10})\]"
+#: A provisional placeholder up to its bracket, which a later rule may leave outside of its match.
+PROVISIONAL = r"\[[A-Z_0-9]+:0000:[0-9a-f]{10}"
 
 
 @dataclass(frozen=True)
@@ -166,7 +167,7 @@ class Walker:
         self.counts: dict[str, int] = {}
         self.seen: dict[str, tuple[str, str, int]] = {}
         out = json.dumps(self.value(json.loads(raw)), ensure_ascii=False)
-        return {"raw": out, "counts": list(self.counts.items()), "seen": [{"category": c, "value": v, "token": t, "at": n} for t, (c, v, n) in self.seen.items()]}
+        return {"raw": out, "counts": list(self.counts.items()), "seen": [{"category": c, "value": v, "token": t.removesuffix("]"), "at": n} for t, (c, v, n) in self.seen.items()]}
 
 
 def first_pass(lines: DataFrame, who: Identity) -> DataFrame:
@@ -183,7 +184,7 @@ def first_pass(lines: DataFrame, who: Identity) -> DataFrame:
 
 
 def dictionary(passed: DataFrame) -> DataFrame:
-    """token and final of each provisional placeholder.
+    """token and final of each provisional placeholder, without their closing brackets.
 
     A row for each distinct value; its number is its place among those of its
     category, by file, line and order within the line.
@@ -193,7 +194,7 @@ def dictionary(passed: DataFrame) -> DataFrame:
     flat = seen.select("category", "token", "value", "first.src_file", "first.line_no", F.col("first.at").alias("at"))
     ranked = stored(numbered(flat, ["src_file", "line_no", "at"], ["category"], "n"), "placeholders").select("category", "token", "value", "n")
     digits = F.when(F.col("n") < 10000, F.lpad(F.col("n").cast("string"), 4, "0")).otherwise(F.col("n").cast("string"))
-    token = lambda value: F.concat(F.lit("["), F.upper("category"), F.lit(":"), digits, F.lit(":"), F.substring(F.sha2(F.encode(value, "UTF-8"), 256), 1, 10), F.lit("]"))
+    token = lambda value: F.concat(F.lit("["), F.upper("category"), F.lit(":"), digits, F.lit(":"), F.substring(F.sha2(F.encode(value, "UTF-8"), 256), 1, 10))
     plain = ranked.where(~F.col("value").rlike(PROVISIONAL)).select("category", "token", token(F.col("value")).alias("final"))
     # Values that hold placeholders of earlier rules: those are final before, rule by rule.
     nested = ranked.where(F.col("value").rlike(PROVISIONAL))

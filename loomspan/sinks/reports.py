@@ -108,7 +108,7 @@ def verify_train_eval(spark: SparkSession, out: str) -> dict:
     receipt = read_report(spark, f"{out}/{RECEIPT}")
     if receipt.get("variant") not in EXPORTS:
         raise ValueError(f"unsupported receipt variant: {receipt.get('variant')!r}")
-    data = spark.read.parquet(out)
+    data = spark.read.option("pathGlobFilter", "*.parquet").parquet(out)
     sizes = {r["split"]: r["count"] for r in data.groupBy("split").count().collect()}
     for part in ("train", "eval"):
         if part not in sizes:

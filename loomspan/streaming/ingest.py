@@ -23,4 +23,4 @@ def stream_traces(lines: DataFrame, metadata_key: str, late: str = "2 days") ->
 def activity(events: DataFrame, time: str, kind: str, window: str = "1 hour", late: str = "1 day") -> DataFrame:
     """window_start, kind, n of events in tumbling windows, late ones up to the watermark."""
     w = F.window(time, window)
-    return events.withWatermark(time, late).groupBy(w, kind).agg(F.count("*").alias("n")).select(F.col("window.start").alias("window_start"), kind, "n")
+    return events.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late).groupBy(w, kind).agg(F.count("*").alias("n")).select(F.col("window.start").alias("window_start"), kind, "n")
