@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -17,6 +19,8 @@ from pyspark.sql import types as T
 
 #: Bytes of text that one numpy pass works on; a longer text is a pass of its own.
 PASS_BYTES = 2 << 20
+#: Rows of a batch that are worked on, and sent on, at a time.
+SLICE = 512
 
 U64 = np.uint64
 _SCRATCH: list[tuple[SparkSession, str]] = []
@@ -43,6 +47,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of plans that nothing refers to any more, rather than when the driver next collects its garbage."""
+    for _ in range(2):  # references to references go in the second round
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
+
+
 def drop_scratch() -> None:
     """Delete the tables that stored() has written; results that still read them must be written before."""
     while _SCRATCH:
@@ -68,10 +80,11 @@ def with_columns(df: DataFrame, fn: Callable[[pa.Array], dict[str, pa.Array]], k
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row = batch.column(0)
-            at = row.type.get_field_index(text)
-            got = fn(pc.fill_null(row.field(at), ""))
-            yield pa.RecordBatch.from_arrays([row, *(got[n] for n in names)], ["_row", *names])
+            at = batch.column(0).type.get_field_index(text)
+            for k in range(0, batch.num_rows, SLICE):
+                row = batch.column(0).slice(k, SLICE)
+                got = fn(pc.fill_null(row.field(at), ""))
+                yield pa.RecordBatch.from_arrays([row, *(got[n] for n in names)], ["_row", *names])
 
     return carried(df).mapInArrow(run, schema)
 
@@ -105,15 +118,17 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class Rolling:
-    """Polynomial hashes modulo 2**64 of any substrings of a byte array, by prefix sums."""
+    """Polynomial hashes modulo 2**64 of any substrings of a byte array, by prefix sums.
+
+    Seeds draw the value of each byte; all share the base, whose powers a worker keeps once.
+    """
 
+    BASE = 0x5851F42D4C957F2D
     _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def __init__(self, data: np.ndarray, seed: int = 1):
-        draw = np.random.default_rng(seed)
-        base = int(draw.integers(1, 1 << 62)) * 2 + 1
-        table_ = draw.integers(1, 1 << 63, 256).astype(U64)
-        up, self.down = self._table(base, len(data) + 1)
+        table_ = np.random.default_rng(seed).integers(1, 1 << 63, 256).astype(U64)
+        up, self.down = self._table(self.BASE, len(data) + 1)
         self.sums = np.zeros(len(data) + 1, U64)
         np.cumsum(table_[data] * up[: len(data)], out=self.sums[1:])
 
