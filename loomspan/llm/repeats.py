@@ -38,10 +38,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import PASS_BYTES, U64, Rolling, mix, passes, stored, table, utf8
+from .common import PASS_BYTES, U64, Rolling, mix, passes, release, stored, table, utf8
 
 SIZE = 100
-KMER = 24
+KMER = 40
 #: Rows that a task gathers before it forwards the distinct ones.
 GATHER = 1 << 20
 _PLACE_BITS = U64(24)
@@ -154,10 +154,9 @@ def _window_rows(batches):
         yield _batch(PHRASE, a[head], b[head], doc[head], start[head], one[head])
 
     for batch in batches:
-        for k in range(batch.num_rows):
+        for k in np.flatnonzero(pc.fill_null(pc.list_value_length(batch.column(2)), 0).to_numpy()):
             data = np.frombuffer((batch.column(1)[k].as_py() or "").encode(), np.uint8)
-            runs = batch.column(2)[k].values
-            at, n = runs.field(0).to_numpy(), runs.field(1).to_numpy()
+            at, n = _unpacked(batch.column(2)[k].values)
             upto = np.cumsum(n)
             begin = np.unique(np.repeat(at - (upto - n), n) + np.arange(upto[-1]))
             one, two = Rolling(data, 21), Rolling(data, 22)
@@ -168,9 +167,18 @@ def _window_rows(batches):
         yield from forward()
 
 
-def repeated(docs: DataFrame) -> DataFrame:
-    """doc_id, start, n: runs of windows (start, start + n) whose string starts earlier in the corpus."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
+def _packed():
+    """A run as one long, which shuffles in a third of the bytes of a struct: start, then n in the lower 32 bits."""
+    return F.shiftleft(F.col("start").cast("long"), 32).bitwiseOR(F.col("n").cast("long"))
+
+
+def _unpacked(runs: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    x = runs.to_numpy()
+    return x >> 32, x & 0xFFFFFFFF
+
+
+def _known(docs: DataFrame) -> DataFrame:
+    """doc_id, and its phrases (arrays of packed runs) that are repeats or asked about; a function of its own, so that its plan can go when it is stored."""
     rows = docs.mapInArrow(_phrase_rows, _ROWS)
     met = rows.select(
         "*",
@@ -180,17 +188,27 @@ def repeated(docs: DataFrame) -> DataFrame:
     kind = F.when(F.col("kind").isin(REPEAT, QUERY), F.col("kind")).when(F.col("kind") == MARK, None)
     # A marker stands for a phrase that is compared elsewhere: it is no earlier occurrence here, so phrases of a marked trigger are all compared.
     kind = kind.when(F.col("marked"), QUERY).when(F.col("place") > 1, REPEAT).when(F.col("lo") < F.col("hi"), QUERY)
-    known = stored(met.select(kind.cast("int").alias("kind"), "doc_id", "start", "n").where("kind is not null"), "phrases")
-    asked = known.where(f"kind = {QUERY}").groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
-    windows = docs.join(asked, "doc_id").select("doc_id", "text", "runs").mapInArrow(_window_rows, _ROWS)
-    later = windows.select("*", F.expr("rank() OVER (PARTITION BY key, more ORDER BY doc_id, start)").alias("place")).where(f"kind = {REPEAT} or place > 1")
-    return known.where(f"kind = {REPEAT}").select("doc_id", "start", "n").unionByName(later.select("doc_id", "start", "n"))
+    known = met.select(kind.cast("int").alias("kind"), "doc_id", _packed().alias("run")).where("kind is not null")
+    of = lambda k: F.collect_list(F.when(F.col("kind") == k, F.col("run")))
+    return stored(known.groupBy("doc_id").agg(of(REPEAT).alias("repeats"), of(QUERY).alias("asked")), "phrases")
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, removed (array of struct(start, end), bytes) and kept (binary) of each row of docs."""
-    runs = repeated(docs).groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    """doc_id, n_bytes, n_removed, n_spans, removed (array of struct(start, end), bytes) and kept (binary) of each row of docs.
+
+    Texts meet their phrases by doc_id once: the windows to compare and the result read the same exchanges.
+    """
+    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    some = whole.where("doc_id is not null")
+    known = _known(some)
+    release(docs.sparkSession)
+    texts = some.join(known, "doc_id", "left")
+    windows = texts.select("doc_id", "text", "asked").mapInArrow(_window_rows, _ROWS)
+    later = windows.select("*", F.expr("rank() OVER (PARTITION BY key, more ORDER BY doc_id, start)").alias("place")).where(f"kind = {REPEAT} or place > 1")
+    later = later.groupBy("doc_id").agg(F.collect_list(_packed()).alias("later"))
+    none = F.expr("CAST(array() AS array<long>)")
+    runs = F.concat(F.coalesce("repeats", none), F.coalesce("later", none)).alias("runs")
+    rows = texts.join(later, "doc_id", "left").select("doc_id", "text", runs).unionByName(whole.where("doc_id is null").select("doc_id", "text", none.alias("runs")))
 
     def cut(batches):
         for batch in batches:
@@ -198,8 +216,8 @@ def keep_first(docs: DataFrame) -> DataFrame:
             for doc, text, runs in zip(*(c for c in (batch.column(0).to_pylist(), batch.column(1), batch.column(2)))):
                 data = (text.as_py() or "").encode()
                 spans, kept = [], data
-                if runs.is_valid:
-                    start, n = runs.values.field(0).to_numpy(), runs.values.field(1).to_numpy()
+                if len(runs):
+                    start, n = _unpacked(runs.values)
                     edge = np.zeros(len(data) + 1, np.int32)
                     np.add.at(edge, start, 1)
                     np.add.at(edge, start + n + SIZE - 1, -1)
@@ -211,7 +229,7 @@ def keep_first(docs: DataFrame) -> DataFrame:
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)] if out else [pa.array([], t) for t in kinds], ["doc_id", "n_bytes", "n_removed", "n_spans", "removed", "kept"])
 
-    return texts.join(runs, "doc_id", "left").select("doc_id", "text", "runs").mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, removed array<struct<start:int,end:int>>, kept binary")
+    return rows.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, removed array<struct<start:int,end:int>>, kept binary")
 
 
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
