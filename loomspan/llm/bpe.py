@@ -129,6 +129,10 @@ class Bpe:
 
         self.tokenizer = Tokenizer.from_str(source)
         self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():  # a token has a character for each of its bytes
+            self.bytes[i] = len(token)
         self.known: dict[str, tuple[int, int]] = {}
         self.ids: list[np.ndarray] = []
         self.size = 0
@@ -153,13 +157,18 @@ class Bpe:
         return tokenizer.to_str()
 
     def _learn(self, words: list[str]) -> None:
+        """Encode words as one sequence; the bytes of its ids tell where each word ends."""
         if len(self.known) + len(words) > CACHE:
             self.known, self.ids, self.size = {}, [], 0
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        for word, ids in zip(words, got):
-            self.known[word] = (self.size, len(ids))
-            self.size += len(ids)
-        self.ids.append(np.fromiter((i for ids in got for i in ids), np.uint32))
+        ids = np.array(self.tokenizer.encode_batch_fast([words], is_pretokenized=True, add_special_tokens=False)[0].ids, np.uint32)
+        upto = np.cumsum(self.bytes[ids])
+        end = np.cumsum(np.fromiter((len(w.encode()) for w in words), np.int64, len(words)))
+        place = np.concatenate([[0], np.searchsorted(upto, end) + 1])
+        if (upto[place[1:] - 1] != end).any():
+            raise ArithmeticError("ids do not keep to their words")
+        self.known.update(zip(words, zip((place[:-1] + self.size).tolist(), np.diff(place).tolist())))
+        self.size += len(ids)
+        self.ids.append(ids)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and where each text begins in them (one more: the end)."""

@@ -96,8 +96,8 @@ class _Model:
         self.chance = _SQUASH[np.clip(dot, -2047, 2047) + 2047]
         return self.best, self.chance
 
-    def learn(self, ids: np.ndarray, hit: np.ndarray, on: np.ndarray) -> None:
-        """What the lanes coded; on: lanes that still have ids (the others' state does not matter any more)."""
+    def learn(self, ids: np.ndarray, hit: np.ndarray) -> None:
+        """What the lanes coded; the state of lanes without ids does not matter any more."""
         bit = hit.astype(np.int32)
         err = (bit << 12) - self.chance
         for w, s, r, at in zip(self.weight, self.stretch, self.rate, self.state):
@@ -131,10 +131,11 @@ class _Model:
 
 def _ends(row: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Cumulative count before each symbol, and its own, of 32768."""
-    k = np.arange(len(row))
-    low = row[k, symbol]
-    high = np.where(symbol < 15, row[k, np.minimum(symbol + 1, 15)], 32768)
-    return low.astype(_U), (high - low).astype(_U)
+    at = np.arange(0, row.size, 16) + symbol
+    flat = row.ravel()
+    low = flat.take(at).astype(_U)
+    high = np.where(symbol < 15, flat.take(at + (symbol < 15)).astype(np.int32), 32768).astype(_U)
+    return low, high - low
 
 
 class _Encoder:
@@ -144,17 +145,19 @@ class _Encoder:
         self.low, self.range = np.zeros(n, _U), np.full(n, (1 << 48) - 1, _U)
         self.out, self.size = np.zeros((n, words), np.uint32), np.zeros(n, np.int64)
 
-    def put(self, lanes: np.ndarray, below: np.ndarray, count: np.ndarray, bits: int) -> None:
-        r = self.range[lanes] >> _U(bits)
-        low, width = self.low[lanes] + r * below, r * count
+    def step(self, low: np.ndarray, width: np.ndarray, lanes: np.ndarray | None, below: np.ndarray, count: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """low and range of some lanes (None: the first ones) after one symbol."""
+        r = width >> _U(bits)
+        low, width = low + r * below, r * count
         small = np.flatnonzero(width < _U(1 << 32))
         if len(small):
-            at, x = lanes[small], low[small]
-            self.out[at, self.size[at]] = x >> _U(32)
-            self.size[at] += 1
+            at, x = small if lanes is None else lanes[small], low[small]
+            size = self.size[at]
+            self.out[at, size] = x >> _U(32)
+            self.size[at] = size + 1
             low[small] = (x & _U(0xFFFFFFFF)) << _U(16)
             width[small] <<= _U(16)
-        self.low[lanes], self.range[lanes] = low, width
+        return low, width
 
     def finish(self) -> list[np.ndarray]:
         for shift in (32, 16, 0):
@@ -177,14 +180,15 @@ class _Reader:
         w = self.words[:, :3].astype(_U)
         self.code = (w[:, 0] << _U(32)) | (w[:, 1] << _U(16)) | w[:, 2]
 
-    def take(self, lanes: np.ndarray, r: np.ndarray, code: np.ndarray, width: np.ndarray) -> None:
+    def step(self, code: np.ndarray, width: np.ndarray, lanes: np.ndarray | None) -> None:
+        """Read on where the range has become small; code and width of some lanes (None: the first ones) change in place."""
         small = np.flatnonzero(width < _U(1 << 32))
         if len(small):
-            at = lanes[small]
-            code[small] = (code[small] << _U(16)) | self.words[at, np.minimum(self.place[at], self.words.shape[1] - 1)].astype(_U)
-            self.place[at] += 1
+            at = small if lanes is None else lanes[small]
+            place = self.place[at]
+            code[small] = (code[small] << _U(16)) | self.words[at, np.minimum(place, self.words.shape[1] - 1)].astype(_U)
+            self.place[at] = place + 1
             width[small] <<= _U(16)
-        self.code[lanes], self.range[lanes] = code, width
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[np.ndarray]:
@@ -196,25 +200,27 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[np.ndarray]:
     ids = np.zeros((steps, len(blocks)), np.int64)
     for k, b in enumerate(blocks):
         ids[: len(b), k] = b
+    on = (sizes[None, :] > np.arange(steps)[:, None]).sum(axis=1).tolist()
     model, coder = _Model(len(blocks)), _Encoder(len(blocks), 5 * steps + 8)
     for t in range(steps):
         best, chance = model.predict()
         now = ids[t]
         hit = best == now
-        lanes = np.arange(int((sizes > t).sum()))
-        p = chance[lanes].astype(_U)
-        h = hit[lanes]
-        coder.put(lanes, np.where(h, _U(0), p), np.where(h, p, _U(4096) - p), 12)
+        n = on[t]  # blocks fall in length, so that those that still have ids come first
+        p, h = chance[:n].astype(_U), hit[:n]
+        coder.low[:n], coder.range[:n] = coder.step(coder.low[:n], coder.range[:n], None, np.where(h, _U(0), p), np.where(h, p, _U(4096) - p), 12)
         miss = np.flatnonzero(~h)
+        low, width, missed = coder.low[miss], coder.range[miss], now[miss]
         upper = np.zeros(len(miss), np.int64)
         for k in range(4):
-            symbol = now[miss] >> (12 - 4 * k) & 15
+            symbol = missed >> (12 - 4 * k) & 15
             at = model.rows(miss, k, upper)
             row = model.nibble.take(at, axis=0)
-            coder.put(miss, *_ends(row, symbol), 15)
+            low, width = coder.step(low, width, miss, *_ends(row, symbol), 15)
             model.bend(at, row, symbol)
             upper = upper << 4 | symbol
-        model.learn(now, hit, lanes)
+        coder.low[miss], coder.range[miss] = low, width
+        model.learn(now, hit)
     return coder.finish()
 
 
@@ -224,32 +230,36 @@ def decode_blocks(words: list[np.ndarray], sizes: np.ndarray) -> list[np.ndarray
         return []
     steps = int(sizes.max())
     ids = np.zeros((steps, len(words)), np.int64)
+    on = (sizes[None, :] > np.arange(steps)[:, None]).sum(axis=1).tolist()
     model, coder = _Model(len(words)), _Reader(words)
     for t in range(steps):
         best, chance = model.predict()
-        lanes = np.arange(int((sizes > t).sum()))
-        r = coder.range[lanes] >> _U(12)
-        bound = r * chance[lanes].astype(_U)
-        code = coder.code[lanes]
+        n = on[t]
+        r, p = coder.range[:n] >> _U(12), chance[:n].astype(_U)
+        bound, code = r * p, coder.code[:n]
         h = code < bound
-        coder.take(lanes, r, np.where(h, code, code - bound), np.where(h, bound, r * (_U(4096) - chance[lanes].astype(_U))))
+        code, width = np.where(h, code, code - bound), np.where(h, bound, r * (_U(4096) - p))
+        coder.step(code, width, None)
+        coder.code[:n], coder.range[:n] = code, width
         miss = np.flatnonzero(~h)
+        code, width = code[miss], width[miss]
         upper = np.zeros(len(miss), np.int64)
         for k in range(4):
             at = model.rows(miss, k, upper)
             row = model.nibble.take(at, axis=0)
-            r = coder.range[miss] >> _U(15)
-            value = np.minimum(coder.code[miss] // r, _U(32767)).astype(np.int32)
+            r = width >> _U(15)
+            value = np.minimum(code // r, _U(32767)).astype(np.int16)
             symbol = (row <= value[:, None]).sum(axis=1) - 1
             low, count = _ends(row, symbol)
-            coder.take(miss, r, coder.code[miss] - r * low, r * count)
+            code, width = code - r * low, r * count
+            coder.step(code, width, miss)
             model.bend(at, row, symbol)
             upper = upper << 4 | symbol
+        coder.code[miss], coder.range[miss] = code, width
         now = best.astype(np.int64)
         now[miss] = upper
-        hit = best == now
-        ids[t, : len(lanes)] = now[: len(lanes)]
-        model.learn(now, hit, lanes)
+        ids[t, :n] = now[:n]
+        model.learn(now, best == now)
     return [ids[:n, k].astype("<u4") for k, n in enumerate(sizes)]
 
 
