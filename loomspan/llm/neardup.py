@@ -14,9 +14,13 @@ drawn, so a set costs about m * (ln m + 10) points whatever its size.
 3. In a bucket each class is paired with the smallest; a joint likelihood over
    the registers drops pairs that cannot be similar enough; the rest are
    confirmed on full sets.  Links join classes to components.
-4. Buckets that still hold several components pair every class outside the
-   largest component with every class of another one.  Pairs inside a component
-   can change nothing, so no group is expanded into all its pairs.
+4. In buckets that still hold several components, every class outside the
+   largest component meets every class of another one.  Classes of such buckets
+   get `FINE` registers, of which the meeting compares three bits each; only
+   pairs with few enough that differ come out of it, from their first bucket.  Pairs inside a component
+   can change nothing, so no group is expanded into all its pairs; what is left
+   of quadratic work is the comparison of words of bits within buckets, between
+   classes that are near but not near enough.
 
 Sets so small that one shingle more is too much (fewer than 6 at 0.85) can only
 be linked with equal ones.  Hashes of
@@ -30,7 +34,9 @@ empty table gives an empty result; other columns do not matter.
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +49,7 @@ from .components import components
 
 ROWS, BANDS = 5, 32
 REGISTERS = ROWS * BANDS
+FINE = 1024
 BASE = 1.01
 WIDTH, SIMILAR = 3, (85, 100)
 _GOLD = U64(0x9E3779B97F4A7C15)
@@ -128,6 +135,33 @@ def likely(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, simil
     return (top[:, 0] >= similar) & (high >= value.max(axis=1) - slack)
 
 
+def planes(regs: np.ndarray) -> np.ndarray:
+    """Three bits of each register, as three planes of whole 64-bit words."""
+    bits = mix(regs.astype(np.int64).astype(U64) + np.arange(1, regs.shape[1] + 1, dtype=U64) * _GOLD)
+    words = -(-regs.shape[1] // 64)
+    out = []
+    for k in range(3):
+        plane = np.zeros((len(regs), words * 64), np.uint8)
+        plane[:, : regs.shape[1]] = (bits >> U64(k)) & U64(1)
+        out.append(np.packbits(plane, axis=1).view(">u8").astype(np.int64))
+    return np.hstack(out) if len(regs) else np.zeros((0, 3 * words), np.int64)
+
+
+def most_different(similar: tuple[int, int], m: int = FINE, chance: float = 2e-8) -> int:
+    """So many registers differ in their three bits, at most, between sets at the threshold, but for a chance of 2e-8."""
+    a, b = similar
+    # Registers differ most often for sets of unequal sizes, one within the other: by the likelihood's own terms.
+    j = a / b
+    u = 1 / (1 + j)
+    q = float(min(1.0, 1.02 * max(_chance(np.array(u - (1 - u) * j)) + _chance(np.array((1 - u) - u * j)), 2 * _chance(np.array((1 - j) / 2))))) * 7 / 8
+    term = [math.exp(math.lgamma(m + 1) - math.lgamma(k + 1) - math.lgamma(m - k + 1) + k * math.log(q) + (m - k) * math.log1p(-q)) for k in range(m + 1)]
+    left, k = 1.0, -1
+    while left > chance and k < m:
+        k += 1
+        left = sum(term[k + 1 :])
+    return k
+
+
 def sketched(docs: DataFrame, width: int = WIDTH, small: int = _small(SIMILAR)) -> DataFrame:
     """doc_id, n_shingles, digest (null: no shingles), bands and registers (null: fewer than `small` shingles)."""
 
@@ -155,6 +189,22 @@ def sketched(docs: DataFrame, width: int = WIDTH, small: int = _small(SIMILAR))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n_shingles long, digest binary, bands array<long>, registers binary")
 
 
+def _fine(ids: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """doc_id, n and planes (of `FINE` registers) of the classes of a table of doc_ids."""
+
+    def run(batches):
+        for batch in batches:
+            data, starts = utf8(pc.fill_null(batch.column(1), ""))
+            size, bits = [], []
+            for i, j in passes(starts):
+                sets = shingle_sets(data[starts[i] : starts[j]], starts[i : j + 1] - starts[i], width)
+                size += [len(s) for s in sets]
+                bits += list(planes(registers(sets, FINE)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(bits, pa.list_(pa.int64()))], ["doc_id", "n", "planes"])
+
+    return texts.join(ids, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(run, "doc_id long, n long, planes array<long>")
+
+
 def _promising(pairs: DataFrame, sketches: DataFrame, similar: tuple[int, int]) -> DataFrame:
     """The pairs (a, b) that the registers do not rule out."""
     side = lambda x: sketches.select(F.col("doc_id").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("registers").alias(f"r_{x}"))
@@ -206,25 +256,33 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, similar: tuple[int, int
     classes = stored(rows.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n")).where("n > 1 and class_id is not null"), "classes")
     later = rows.join(classes, "digest", "left").where("class_id is null or class_id = doc_id").where("bands is not null and doc_id is not null")
     sketches = stored(later.dropDuplicates(["doc_id", "digest"]).select("doc_id", "n_shingles", "bands", "registers"), "reps")
-    band = sketches.select("doc_id", F.explode("bands").alias("key"))
+    band = sketches.select("doc_id", F.posexplode("bands").alias("band", "key"))
     full = band.groupBy("key").agg(F.min("doc_id").alias("head"), F.count("*").alias("n")).where("n > 1").select("key", "head")
-    buckets = stored(band.join(full, "key").select("key", "doc_id", "head"), "buckets")
+    buckets = stored(band.join(full, "key").select("key", "band", "doc_id", "head"), "buckets")
     texts = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(buckets.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
 
     tried = buckets.where("doc_id <> head").select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct()
     links = stored(_confirmed(_promising(tried, sketches, similar), texts, width, similar), "confirmed")
     found = components(links)
 
-    labelled = buckets.join(found, F.col("doc_id") == F.col("node"), "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    labelled = buckets.join(found, F.col("doc_id") == F.col("node"), "left").select("key", "band", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
     left = stored(labelled.join(mixed, "key", "left_semi"), "mixed")
     largest = left.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("component", F.struct("n", -F.col("component"))).alias("main"))
-    sized = left.join(largest, "key")
-    one = sized.where("component <> main").select("key", F.col("doc_id").alias("x"), F.col("component").alias("cx"))
-    two = sized.select(F.col("key").alias("k2"), F.col("doc_id").alias("y"), F.col("component").alias("cy"), "main")
-    rest = one.join(two, (F.col("key") == F.col("k2")) & (F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("main")) | (F.col("x") < F.col("y"))))
+    fine = stored(_fine(left.select("doc_id").distinct(), texts, width), "fine")
+    sized = left.join(largest, "key").join(fine, "doc_id").join(sketches.select("doc_id", "bands"), "doc_id")
+    one = sized.where("component <> main").select("key", "band", F.col("bands").alias("bx"), F.col("doc_id").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"), F.col("planes").alias("px"))
+    two = sized.select(F.col("key").alias("k2"), F.col("bands").alias("by"), F.col("doc_id").alias("y"), F.col("component").alias("cy"), "main", F.col("n").alias("ny"), F.col("planes").alias("py"))
+    words = -(-FINE // 64)
+    differ = [functools.reduce(lambda a, b: a.bitwiseOR(b), [F.col("px")[k * words + w].bitwiseXOR(F.col("py")[k * words + w]) for k in range(3)]) for w in range(words)]
+    close = sum(F.bit_count(d) for d in differ) <= most_different(similar)
+    sizes = F.least("nx", "ny") * similar[1] >= F.greatest("nx", "ny") * similar[0]
+    # Two classes that share several buckets, all of which are mixed then, meet in the first.
+    first = functools.reduce(lambda a, b: a & b, [(F.lit(i) >= F.col("band")) | (F.col("bx")[i] != F.col("by")[i]) for i in range(BANDS)])
+    rest = one.join(two, (F.col("key") == F.col("k2")) & (F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("main")) | (F.col("x") < F.col("y"))) & sizes & close & first)
     rest = rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    more = stored(_confirmed(_promising(rest, sketches, similar), texts, width, similar), "confirmed")
+    # The fine registers tell more than the likelihood over the others could.
+    more = stored(_confirmed(rest, texts, width, similar), "confirmed")
     if more.limit(1).count():
         found = components(links.union(more))
 
