@@ -132,7 +132,7 @@ def likely(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, simil
     p, q = np.maximum(_chance(u - v * j), 1e-12), np.maximum(_chance(v - u * j), 1e-12)
     value = more * np.log(p) + less * np.log(q) + same * np.log(np.maximum(1 - p - q, 1e-12))
     high = np.where(grid >= similar - 1e-9, value, -np.inf).max(axis=1)
-    return (top[:, 0] >= similar) & (high >= value.max(axis=1) - slack)
+    return (top[:, 0] >= similar - 1e-9) & (high >= value.max(axis=1) - slack)
 
 
 def planes(regs: np.ndarray) -> np.ndarray:

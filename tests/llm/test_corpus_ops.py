@@ -133,3 +133,11 @@ def test_components(spark):
             low[a] = low[b] = min(low[a], low[b])
     got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
     assert all(got.get(x, x) == c for x, c in low.items())
+
+
+@pytest.mark.parametrize(("width", "similar", "sizes"), [(5, (80, 100), [(4, 5), (8, 10), (80, 100), (15, 12)]), (3, (85, 100), [(17, 20), (200, 170)])])
+def test_contained_texts_at_the_threshold(spark, width, similar, sizes):
+    words = lambda k, n: " ".join(f"w{k}x{i}" for i in range(n + width - 1))
+    texts = [words(k, n) for k, pair in enumerate(sizes) for n in pair]
+    got = neardup.near_duplicates(frame(spark, texts), width, similar).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == [(i, sizes[i // 2][i % 2], i - i % 2) for i in range(len(texts))]
