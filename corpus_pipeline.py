@@ -8,7 +8,8 @@ rereads it for the next one.
 Defined results: documents that are rejected go, all others stay as they are,
 except that secrets in a text are replaced by a mark and n_chars follows; a null
 text stays null and is clean; rows that repeat a doc_id and its text are copies
-of each other, of which one stays; rows without a doc_id are judged by text
+of each other, of which one stays; rows that share a doc_id with different texts
+are documents of their own; rows without a doc_id are judged by text
 alone and none of them is another's copy; an empty table passes as it is.
 """
 
@@ -17,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomspan.functions.rank import numbered
 from loomspan.llm import bpe, decontaminate, neardup, secret_scan, toxicity
 from loomspan.llm.common import stored, table
 
@@ -32,9 +34,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents that share 0.8 of their shingles of five words, the one of the smallest doc_id."""
-    groups = neardup.near_duplicates(docs, width=5, similar=(80, 100))
-    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+    named = docs.where("doc_id is not null").select(F.col("doc_id").alias("node"), "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    if named.groupBy("node").count().where("count > 1").limit(1).count():
+        # Texts that share a doc_id are documents of their own: each is named by its place by doc_id and text.
+        keyed = named.withColumn("key", F.sha2(F.coalesce("text", F.lit("")), 256))
+        places = numbered(keyed.select("node", "key").distinct(), ["node", "key"])
+        named = stored(keyed.join(places, ["node", "key"]).select(F.col("place").alias("node"), "text", "_row"), "named")
+    groups = neardup.near_duplicates(named.select(F.col("node").alias("doc_id"), "text"), width=5, similar=(80, 100))
+    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("node")).distinct()
+    return _rows(named.join(kept, "node", "left_semi").dropDuplicates(["node"])).unionByName(docs.where("doc_id is null"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

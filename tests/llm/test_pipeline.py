@@ -78,3 +78,13 @@ def test_empty_tables_and_repeated_rows(spark, tmp_path):
     got = corpus_pipeline.drop_near_duplicates(spark, twice, str(tmp_path))
     assert sorted((r["doc_id"] or -1) for r in got.collect()) == [-1, -1, 1, 2]
     assert decontaminate.words_of(None) == []
+
+
+def test_texts_that_share_a_doc_id(spark, tmp_path):
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(30))
+    rows = [(1, text(0)), (3, text(1)), (3, text(2)), (3, text(2)), (3, text(3).upper()), (4, text(3)), (5, text(0)), (5, text(4)), (5, text(4).replace(" ", "  ")), (None, text(0)), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    left = corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path))
+    assert left.columns == docs.columns and left.dtypes == docs.dtypes
+    got = sorted(((r["doc_id"] or 0), " ".join((r["text"] or "").split())) for r in left.collect())
+    assert got == sorted([(0, ""), (0, text(0)), (1, text(0)), (3, text(1)), (3, text(2)), (3, text(3).upper()), (5, text(4))])
