@@ -158,8 +158,6 @@ class Bpe:
 
     def _learn(self, words: list[str]) -> None:
         """Encode words as one sequence; the bytes of its ids tell where each word ends."""
-        if len(self.known) + len(words) > CACHE:
-            self.known, self.ids, self.size = {}, [], 0
         ids = np.array(self.tokenizer.encode_batch_fast([words], is_pretokenized=True, add_special_tokens=False)[0].ids, np.uint32)
         upto = np.cumsum(self.bytes[ids])
         end = np.cumsum(np.fromiter((len(w.encode()) for w in words), np.int64, len(words)))
@@ -201,11 +199,12 @@ class Bpe:
             raise ArithmeticError("two pieces of a pass have the same key")
         words = [text[a:b] for a, b in zip(begin[first], end[first])]
         fresh = [w for w in words if w not in self.known]
+        if len(self.known) + len(fresh) > CACHE:
+            # Whatever a pass needs stays until its end, even if it is more than the bound.
+            self.known, self.ids, self.size = {}, [], 0
+            fresh = words
         if fresh:
-            before = len(self.known)
             self._learn(fresh)
-            if len(self.known) < before + len(fresh):
-                self._learn([w for w in words if w not in self.known])
         if len(self.ids) > 1:
             self.ids = [np.concatenate(self.ids)]
         place = np.array([self.known[w] for w in words], np.int64).reshape(-1, 2)

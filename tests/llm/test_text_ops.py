@@ -46,6 +46,14 @@ def test_runs_of_few_characters(encoder, reference, text):
     assert encoder.encode([text])[0].tolist() == reference.encode_ordinary(text)
 
 
+def test_texts_of_more_pieces_than_the_cache(reference, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE", 40)
+    encoder = bpe.Bpe(bpe.Bpe.source_of_ranks(bpe.rank_file()))
+    for text in ["one two", " ".join(f"x{i}" for i in range(100)), "one x1 two", " ".join(f"x{i}y" for i in range(100)), ""]:
+        ids, at = encoder.encode([text, "one"])
+        assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [reference.encode_ordinary(t) for t in (text, "one")]
+
+
 def test_round_trip_query(spark, reference):
     got = {r["_row"]["doc_id"]: r for r in bpe.round_trip(frame(spark, ODD)).collect()}
     for i, t in enumerate(ODD):
