@@ -183,6 +183,12 @@ def first_pass(lines: DataFrame, who: Identity) -> DataFrame:
     return map_rows(lines.select("src_file", "line_no", "raw"), one, kinds)
 
 
+def _digits(n: str) -> Column:
+    """A placeholder's number: four digits at least, more where it needs them."""
+    text = F.col(n).cast("string")
+    return F.when(F.col(n) < 10000, F.lpad(text, 4, "0")).otherwise(text)
+
+
 def dictionary(passed: DataFrame) -> DataFrame:
     """token and final of each provisional placeholder, without their closing brackets.
 
@@ -193,8 +199,7 @@ def dictionary(passed: DataFrame) -> DataFrame:
     seen = seen.withColumn("value", F.when(F.col("value") == F.col("other"), F.col("value")).otherwise(F.raise_error(F.lit("two values share a placeholder"))))
     flat = seen.select("category", "token", "value", "first.src_file", "first.line_no", F.col("first.at").alias("at"))
     ranked = stored(numbered(flat, ["src_file", "line_no", "at"], ["category"], "n"), "placeholders").select("category", "token", "value", "n")
-    digits = F.when(F.col("n") < 10000, F.lpad(F.col("n").cast("string"), 4, "0")).otherwise(F.col("n").cast("string"))
-    token = lambda value: F.concat(F.lit("["), F.upper("category"), F.lit(":"), digits, F.lit(":"), F.substring(F.sha2(F.encode(value, "UTF-8"), 256), 1, 10))
+    token = lambda value: F.concat(F.lit("["), F.upper("category"), F.lit(":"), _digits("n"), F.lit(":"), F.substring(F.sha2(F.encode(value, "UTF-8"), 256), 1, 10))
     plain = ranked.where(~F.col("value").rlike(PROVISIONAL)).select("category", "token", token(F.col("value")).alias("final"))
     # Values that hold placeholders of earlier rules: those are final before, rule by rule.
     nested = ranked.where(F.col("value").rlike(PROVISIONAL))
@@ -252,7 +257,7 @@ def stable_text(df: DataFrame, key: str, text: str, name: str, who: Identity = I
     values = rows.select("key", F.posexplode(F.regexp_extract_all("text", F.lit(java), F.lit(0))).alias("at", "value"))
     first = values.groupBy("value").agg(F.min(F.struct("key", "at")).alias("f")).select("value", F.col("f.key").alias("k"), F.col("f.at").alias("at"))
     ranked = numbered(first, ["k", "at"], name="n")
-    marks = ranked.select("value", F.concat(F.lit(f"[{name.upper()}:"), F.lpad(F.col("n").cast("string"), 4, "0"), F.lit(":"), F.substring(F.sha2(F.encode("value", "UTF-8"), 256), 1, 10), F.lit("]")).alias("mark"))
+    marks = ranked.select("value", F.concat(F.lit(f"[{name.upper()}:"), _digits("n"), F.lit(":"), F.substring(F.sha2(F.encode("value", "UTF-8"), 256), 1, 10), F.lit("]")).alias("mark"))
     maps = values.select("key", "value").distinct().join(marks, "value").groupBy(F.col("key").alias("_key")).agg(F.map_from_entries(F.collect_list(F.struct("value", "mark"))).alias("_map"))
     done = rows.join(maps, F.col("key") == F.col("_key"), "left")
     put = F.when(F.col("_map").isNull(), F.col("text")).otherwise(replace_matches(F.col("text"), java, lambda m: F.coalesce(F.try_element_at(F.col("_map"), m), m)))

@@ -122,3 +122,10 @@ def test_optional_layers(spark):
         raise AssertionError
     except RuntimeError:
         pass
+
+
+def test_numbers_above_9999_widen_the_placeholder(spark):
+    values = [f"a{i}@x.io" for i in range(1, 10_003)]
+    rows = spark.createDataFrame([(1, " ".join(values[:9_998])), (2, " ".join(values[9_998:]))], "k long, t string")
+    got = {r["k"]: r["t"].split() for r in redact.stable_text(rows, "k", "t", "email").collect()}
+    assert got[1] + got[2] == [token("EMAIL", n, v) for n, v in enumerate(values, 1)]
