@@ -62,13 +62,15 @@ def _chain(h: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
 class Patterns:
     """The tables of one part of the benchmark, by length of the pattern."""
 
-    def __init__(self, items: list[tuple[str, str | None]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, str | None]], window: int = WINDOW):
         by: dict[int, dict[bytes, set[str]]] = defaultdict(lambda: defaultdict(set))
         for item, text in items:
             words = words_of(text)
             m = min(window, len(words))
             for i in range(len(words) - m + 1 if m else 0):
-                by[m][b" ".join(words[i : i + m])].add(item)
+                of = by[m][b" ".join(words[i : i + m])]  # a null item has windows, but no name to report
+                if item is not None:
+                    of.add(item)
         self.tables = []
         for m, windows in sorted(by.items()):
             size = min(2, m)
@@ -109,7 +111,7 @@ class Patterns:
             place = np.minimum(np.searchsorted(buckets, bucket), len(buckets) - 1)
             for i in begins[buckets[place] == bucket]:
                 same = windows.get(b" ".join(raw[begin[k] : end[k]] for k in range(i, i + m)))
-                if same:
+                if same is not None:
                     found[int(np.searchsorted(first, i, "right")) - 1].append((i, m, same))
         for k, got in found.items():
             covered = np.unique(np.concatenate([np.arange(i, i + m) for i, m, _ in got])) - first[k]
@@ -124,12 +126,12 @@ def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_byt
     over the texts (no shuffle) searches for one part, so that what a task
     holds is bounded whatever the benchmark's size.
     """
-    items = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").where("item_id is not null")
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), "text")
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = -(-int(total) // part_bytes) or 1
     out = None
     for part in range(parts):
-        mine = items if parts == 1 else items.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == part)
+        mine = items if parts == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(parts)) == part)
         patterns = docs.sparkSession.sparkContext.broadcast(Patterns([(r[0], r[1]) for r in mine.collect()], window))
 
         def find(col: pa.Array, patterns=patterns) -> dict[str, pa.Array]:

@@ -169,3 +169,10 @@ def test_decontaminate_against_all_windows(spark):
                         hit |= {*range(i, i + m)}
                         found |= patterns[tuple(w[i : i + m])]
             assert (r["n_words"], sorted(r["hits"]), r["items"]) == (len(w), sorted(hit), sorted(found))
+
+
+def test_benchmark_rows_without_an_item_id(spark):
+    bench = spark.createDataFrame([(None, "zz yy xx"), (None, "vv uu"), ("i", "vv uu"), (None, None)], "item_id string, text string")
+    for part_bytes in (1 << 20, 5):
+        got = {r["_row"]["doc_id"]: (list(r["hits"]), list(r["items"])) for r in decontaminate.search(frame(spark, ["a zz yy xx", "vv uu b", "zz yy", None]), bench, part_bytes=part_bytes).collect()}
+        assert got == {0: ([1, 2, 3], []), 1: ([0, 1], ["i"]), 2: ([], []), 3: ([], [])}
