@@ -1,16 +1,18 @@
 """Byte-level BPE over Arrow batches with the tokenizers library, and back.
 
-A text is cut as the pattern of the rank file cuts it: by code point classes
-(letters, numbers, white space, others) over whole arrays of code points, which
-gives the same pieces as the regular expression.  Every distinct piece of a
-pass is encoded once by the tokenizers library (a bounded cache keeps pieces
-between passes); ids of a text are then gathered by piece.  The model is built
-from the rank file: its vocabulary in the byte-to-character alphabet, and the
-merges that the ranks imply.
+A text is cut as the pattern of the rank file cuts it: by character classes
+(letters, numbers, white space, others) over whole arrays of UTF-8 bytes, which
+gives the same pieces as the regular expression.  Arrow numbers the distinct
+pieces of a pass, comparing them byte by byte; each is encoded once by the
+tokenizers library (a bounded cache keeps pieces between passes), and ids of a
+text are gathered by piece.  The model is built from the rank file: its
+vocabulary in the byte-to-character alphabet, and the merges that the ranks
+imply.
 
 Offsets of an id are code points: of the character that holds its first byte,
 and one past the character that holds its last, so that ids that split a
-character overlap in it.  Decoding looks up each id's bytes; `Decoder` decodes
+character overlap in it.  Decoding turns the characters of each
+id back into bytes by the alphabet reversed; `Decoder` decodes
 ids that arrive in parts and holds back the bytes of a split character until
 the rest of it comes.
 
@@ -27,6 +29,7 @@ import codecs
 import hashlib
 import os
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,13 +37,11 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, Rolling, mix, table, with_columns
+from .common import passes, table, utf8, with_columns
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-#: Code points of one pass; a longer text is a pass of its own.
-PASS_CHARS = 1 << 20
 #: Pieces that a worker keeps between passes.
-CACHE = 300_000
+CACHE = 600_000
 LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
 
 
@@ -68,12 +69,27 @@ def _classes() -> np.ndarray:
     return out
 
 
-def pieces(cps: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Where each piece of the pattern begins; starts: where each text begins (one more: the end)."""
-    n = len(cps)
+def _kinds(data: np.ndarray) -> np.ndarray:
+    """The class of the character that each byte of UTF-8 belongs to."""
+    kind = _classes()[:256][data]
+    lead = np.flatnonzero(data >= 0xC0)
+    if len(lead):
+        first, wide = data[lead].astype(np.int32), lead + 4 <= len(data)
+        byte = lambda k: data[np.minimum(lead + k, len(data) - 1)].astype(np.int32) & 0x3F
+        size = 2 + (first >= 0xE0) + (first >= 0xF0)
+        cp = np.where(size == 2, (first & 0x1F) << 6 | byte(1), np.where(size == 3, (first & 0x0F) << 12 | byte(1) << 6 | byte(2), (first & 0x07) << 18 | byte(1) << 12 | byte(2) << 6 | byte(3) * wide))
+        of = _classes()[np.minimum(cp, 0x10FFFF)]
+        for k in range(4):
+            kind[lead[size > k] + k] = of[size > k]
+    return kind
+
+
+def pieces(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where each piece of the pattern begins in UTF-8 bytes; starts: where each text begins (one more: the end)."""
+    n = len(data)
     if not n:
         return np.zeros(0, np.int64)
-    kind = _classes()[cps]
+    kind = _kinds(data)
     text = np.zeros(n + 1, bool)
     text[starts] = True
     run = text[:n].copy()
@@ -82,15 +98,17 @@ def pieces(cps: np.ndarray, starts: np.ndarray) -> np.ndarray:
     heads = np.flatnonzero(run)
     ends = np.append(heads[1:], n)
     # White space before other text leaves its last character to what follows: as its head if it is a blank, else alone.
-    blank = (kind[heads] == SPACE) & ~text[ends]
-    begin[ends[blank] - 1] = True
-    joined = ends[blank][cps[ends[blank] - 1] == 0x20]
-    begin[joined] = False
+    last = ends[(kind[heads] == SPACE) & ~text[ends]] - 1
+    follows = last + 1
+    while len(inside := np.flatnonzero((data[last] & 0xC0) == 0x80)):
+        last[inside] -= 1
+    begin[last] = True
+    begin[follows[data[last] == 0x20]] = False
     # An apostrophe alone before letters, with no blank before it, begins one of the endings.
-    single = heads[(ends - heads == 1) & (cps[heads] == 0x27) & begin[heads] & ~text[ends]]
+    single = heads[(ends - heads == 1) & (data[heads] == 0x27) & begin[heads] & ~text[ends]]
     single = single[kind[np.minimum(single + 1, n - 1)] == LETTER]
     if len(single):
-        at = lambda k: np.where(single + k < n, cps[np.minimum(single + k, n - 1)], 0)
+        at = lambda k: np.where(single + k < n, data[np.minimum(single + k, n - 1)], 0)
         one, two = at(1), np.where(text[np.minimum(single + 2, n)], 0, at(2))
         short = np.isin(one, [ord(c) for c in "stmd"])
         long = (np.isin(one, [ord("r"), ord("v")]) & (two == ord("e"))) | ((one == ord("l")) & (two == ord("l")))
@@ -133,9 +151,12 @@ class Bpe:
         self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():  # a token has a character for each of its bytes
             self.bytes[i] = len(token)
-        self.known: dict[str, tuple[int, int]] = {}
-        self.ids: list[np.ndarray] = []
-        self.size = 0
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids = np.zeros(0, np.uint32)
+        self.place = np.zeros(1, np.int64)  # where the ids of each known piece begin (one more: the end)
 
     @staticmethod
     def source_of_ranks(path: str) -> str:
@@ -161,87 +182,93 @@ class Bpe:
         ids = np.array(self.tokenizer.encode_batch_fast([words], is_pretokenized=True, add_special_tokens=False)[0].ids, np.uint32)
         upto = np.cumsum(self.bytes[ids])
         end = np.cumsum(np.fromiter((len(w.encode()) for w in words), np.int64, len(words)))
-        place = np.concatenate([[0], np.searchsorted(upto, end) + 1])
-        if (upto[place[1:] - 1] != end).any():
+        place = np.searchsorted(upto, end) + 1
+        if (upto[place - 1] != end).any():
             raise ArithmeticError("ids do not keep to their words")
-        self.known.update(zip(words, zip((place[:-1] + self.size).tolist(), np.diff(place).tolist())))
-        self.size += len(ids)
-        self.ids.append(ids)
+        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
+        self.place = np.concatenate([self.place, place + self.place[-1]])
+        self.ids = np.concatenate([self.ids, ids])
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and where each text begins in them (one more: the end)."""
-        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-        starts = np.concatenate([[0], np.cumsum(sizes)])
-        flat, at, i = [], [np.zeros(1, np.int64)], 0
-        while i < len(texts):
-            j = max(i + 1, int(np.searchsorted(starts, starts[i] + PASS_CHARS, "right")) - 1)
-            ids, ends = self._pass("".join(texts[i:j]), starts[i : j + 1] - starts[i])
+        data, starts = utf8(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
+        flat, at = [np.zeros(0, np.uint32)], [np.zeros(1, np.int64)]
+        for i, j in passes(starts):
+            ids, ends = self._pass(data[starts[i] : starts[j]], starts[i : j + 1] - starts[i])
             flat.append(ids)
             at.append(ends + at[-1][-1])
-            i = j
-        return (np.concatenate(flat) if flat else np.zeros(0, np.uint32)), np.concatenate(at)
-
-    def _pass(self, text: str, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        raw = text.encode("utf-32-le")
-        cps = np.frombuffer(raw, np.uint32)
-        begin = pieces(cps, starts)
-        end = np.append(begin[1:], len(cps))
+        return np.concatenate(flat), np.concatenate(at)
+
+    def _pass(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        begin = pieces(data, starts)
         if not len(begin):
             return np.zeros(0, np.uint32), np.zeros(len(starts) - 1, np.int64)
-        # Bytes of UTF-32 that matter: three of each four, hashed as one array of 16-bit halves would be; a code point is hashed by its two low bytes and its plane.
-        low, high, plane = (cps & 0xFF).astype(np.uint8), ((cps >> 8) & 0xFF).astype(np.uint8), (cps >> 16).astype(np.uint8)
-        key = Rolling(low, 11).of(begin, end) ^ mix(Rolling(high, 12).of(begin, end) + (Rolling(plane, 13).of(begin, end) if plane.any() else U64(0)))
-        _, first, same = np.unique(key, return_index=True, return_inverse=True)
-        # Pieces with one key are one piece only if their characters agree.
-        size = end - begin
-        other = begin[first][same]
-        if (size != size[first][same]).any() or (cps != cps[np.repeat(other - begin, size) + np.arange(len(cps))]).any():
-            raise ArithmeticError("two pieces of a pass have the same key")
-        words = [text[a:b] for a, b in zip(begin[first], end[first])]
-        fresh = [w for w in words if w not in self.known]
-        if len(self.known) + len(fresh) > CACHE:
-            # Whatever a pass needs stays until its end, even if it is more than the bound.
-            self.known, self.ids, self.size = {}, [], 0
-            fresh = words
-        if fresh:
-            self._learn(fresh)
-        if len(self.ids) > 1:
-            self.ids = [np.concatenate(self.ids)]
-        place = np.array([self.known[w] for w in words], np.int64).reshape(-1, 2)
-        at, count = place[same, 0], place[same, 1]
-        upto = np.cumsum(count)
-        ids = self.ids[0][np.repeat(at - (upto - count), count) + np.arange(upto[-1])]
-        piece = np.searchsorted(begin, starts[1:])
-        return ids, np.concatenate([[0], upto])[piece]
+        # Pieces follow each other without a gap, so they are an Arrow column over the bytes as they are.
+        edges = np.append(begin, len(data))
+        coded = pa.LargeStringArray.from_buffers(len(begin), pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(data))).dictionary_encode()
+        words, same = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        piece = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        fresh = np.flatnonzero(piece < 0)
+        if len(fresh):
+            if len(self.known) + len(fresh) > CACHE:
+                # Whatever a pass needs stays until its end, even if it is more than the bound.
+                self._forget()
+                fresh = np.arange(len(words))
+            piece[fresh] = len(self.known) + np.arange(len(fresh))
+            self._learn([words[k] for k in fresh])
+        count = (self.place[piece + 1] - self.place[piece]).astype(np.int32)[same]
+        upto = np.cumsum(count, dtype=np.int32 if len(data) < 1 << 30 else np.int64)
+        at = self.place[piece].astype(upto.dtype)[same]
+        at -= upto
+        at += count
+        at = np.repeat(at, count)
+        at += np.arange(len(at), dtype=at.dtype)
+        return self.ids[at], np.concatenate([np.zeros(1, np.int64), upto])[np.searchsorted(begin, starts[1:])]
 
 
 class Decoder:
     """Ids to bytes by table; text of ids that come in parts, without broken characters."""
 
     def __init__(self, tokens: list[bytes]):
-        self.tokens = tokens
         self.size = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        self.place = np.cumsum(self.size) - self.size
+        self.flat = np.frombuffer(b"".join(tokens), np.uint8)
         self._open = codecs.getincrementaldecoder("utf-8")("replace")
 
     @classmethod
-    def of_ranks(cls, path: str) -> Decoder:
-        ranks = load_ranks(path)
-        tokens = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            tokens[rank] = token
+    def of_model(cls, source: str) -> Decoder:
+        """From the JSON of a byte-level tokenizer: the characters of its tokens stand for bytes, by the alphabet turned round."""
+        from tokenizers import Tokenizer
+
+        byte = {c: b for b, c in enumerate(byte_alphabet())}
+        vocabulary = Tokenizer.from_str(source).get_vocab(with_added_tokens=False)
+        tokens = [b""] * (max(vocabulary.values()) + 1)
+        for token, i in vocabulary.items():
+            tokens[i] = bytes(map(byte.__getitem__, token)) if all(c in byte for c in token) else b""
         return cls(tokens)
 
+    @classmethod
+    def of_ranks(cls, path: str) -> Decoder:
+        return cls.of_model(Bpe.source_of_ranks(path))
+
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all ids, and where those of each end."""
+        if len(ids) and not 0 <= int(ids.min()) <= int(ids.max()) < len(self.size):
+            raise ValueError("an id outside the vocabulary")
+        size = self.size[ids]
+        upto = np.cumsum(size)
+        return self.flat[np.repeat(self.place[ids] - (upto - size), size) + np.arange(upto[-1] if len(upto) else 0)], upto
+
     def decode_bytes(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids.tolist()))
+        return self.decode(ids)[0].tobytes()
 
     def feed(self, ids: np.ndarray, last: bool = False) -> str:
         return self._open.decode(self.decode_bytes(ids), last)
 
     def offsets(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First and one past the last code point of each id."""
-        data = np.frombuffer(self.decode_bytes(ids), np.uint8)
+        data, end = self.decode(ids)
         char = np.cumsum((data & 0xC0) != 0x80) - 1  # of each byte
-        end = np.cumsum(self.size[ids])
         return char[end - self.size[ids]].astype(np.int32), (char[end - 1] + 1).astype(np.int32)
 
 
@@ -267,11 +294,11 @@ def encode(docs: DataFrame, ranks: str | None = None, offsets: bool = False) ->
 
     def run(col: pa.Array) -> dict[str, pa.Array]:
         bpe = _once("bpe" + ranks, lambda: Bpe(source.value))
-        ids, at = bpe.encode(col.to_pylist())
+        ids, at = bpe.encode(col)
         where = pa.array(at, pa.int32())
         out = {"ids": pa.ListArray.from_arrays(where, pa.array(ids.astype(np.int32)))}
         if offsets:
-            got = [_once("dec" + ranks, lambda: Decoder.of_ranks(ranks)).offsets(ids[a:b]) for a, b in zip(at[:-1], at[1:])]
+            got = [_once("dec" + ranks, lambda: Decoder.of_model(source.value)).offsets(ids[a:b]) for a, b in zip(at[:-1], at[1:])]
             for k, name in enumerate(("begins", "ends")):
                 out[name] = pa.ListArray.from_arrays(where, pa.array(np.concatenate([g[k] for g in got]) if got else np.zeros(0, np.int32)))
         return out
@@ -304,20 +331,17 @@ def round_trip(docs: DataFrame, ranks: str | None = None, keep: bool = False) ->
     source = _source(docs.sparkSession, ranks)
 
     def run(col: pa.Array) -> dict[str, pa.Array]:
-        bpe, decoder = _once("bpe" + ranks, lambda: Bpe(source.value)), _once("dec" + ranks, lambda: Decoder.of_ranks(ranks))
-        n, a, b, flat = [], [], [], []
-        for k in range(0, len(col), 512):
-            ids, at = bpe.encode(col.slice(k, 512).to_pylist())
-            ids = ids.astype("<u4")
-            flat += [ids] * keep
-            for i, j in zip(at[:-1], at[1:]):
-                n.append(j - i)
-                a.append(hashlib.sha256(ids[i:j].tobytes()).hexdigest())
-                b.append(hashlib.sha256(decoder.decode_bytes(ids[i:j])).hexdigest())
+        bpe, decoder = _once("bpe" + ranks, lambda: Bpe(source.value)), _once("dec" + ranks, lambda: Decoder.of_model(source.value))
+        ids, at = bpe.encode(col)
+        ids = ids.astype("<u4")
+        data, upto = decoder.decode(ids)
+        where = np.concatenate([[0], upto])[at]
+        n = np.diff(at)
+        a = [hashlib.sha256(ids[i:j]).hexdigest() for i, j in zip(at[:-1], at[1:])]
+        b = [hashlib.sha256(data[i:j]).hexdigest() for i, j in zip(where[:-1], where[1:])]
         out = {"n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(a, pa.string()), "decoded_sha256": pa.array(b, pa.string())}
         if keep:
-            at = pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
-            out["ids"] = pa.ListArray.from_arrays(at, pa.array(np.concatenate([*flat, np.zeros(0, "<u4")]).astype(np.int32)))
+            out["ids"] = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids.astype(np.int32)))
         return out
 
     return with_columns(docs, run, "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep)

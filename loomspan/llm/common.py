@@ -3,20 +3,20 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import os
 import tempfile
-import time
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import let
+
 #: Bytes of text that one numpy pass works on; a longer text is a pass of its own.
 PASS_BYTES = 2 << 20
 #: Rows of a batch that are worked on, and sent on, at a time.
@@ -33,6 +33,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share; a local one only where none is set, as in tests."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return named or "file://" + os.path.join(tempfile.gettempdir(), "loomspan-scratch")
 
 
@@ -47,14 +49,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Let go of the shuffle files of plans that nothing refers to any more, rather than when the driver next collects its garbage."""
-    for _ in range(2):  # references to references go in the second round
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.5)
-
-
 def drop_scratch() -> None:
     """Delete the tables that stored() has written; results that still read them must be written before."""
     while _SCRATCH:
@@ -117,36 +111,30 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-class Rolling:
-    """Polynomial hashes modulo 2**64 of any substrings of a byte array, by prefix sums.
-
-    Seeds draw the value of each byte; all share the base, whose powers a worker keeps once.
-    """
-
-    BASE = 0x5851F42D4C957F2D
-    _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-    def __init__(self, data: np.ndarray, seed: int = 1):
-        table_ = np.random.default_rng(seed).integers(1, 1 << 63, 256).astype(U64)
-        up, self.down = self._table(self.BASE, len(data) + 1)
-        self.sums = np.zeros(len(data) + 1, U64)
-        np.cumsum(table_[data] * up[: len(data)], out=self.sums[1:])
-
-    @classmethod
-    def _table(cls, base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if base not in cls._powers or len(cls._powers[base][0]) < n:
-            size = max(n, PASS_BYTES + (1 << 18))
+_GOLD = U64(0x9E3779B97F4A7C15)
+#: What is left of eight bytes if only so many count.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], U64)
 
-            def powers(b: int) -> np.ndarray:
-                p = np.full(size, b, U64)
-                p[0] = 1
-                return np.cumprod(p, dtype=U64)
 
-            cls._powers[base] = powers(base), powers(pow(base, -1, 1 << 64))
-        return cls._powers[base]
+def span_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, seed: int = 1) -> np.ndarray:
+    """64-bit hashes of spans of bytes: eight bytes at a time go through the scrambling with what came before.
 
-    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return (self.sums[end] - self.sums[start]) * self.down[start]
+    Spans of one length of at most eight bytes never share a hash, and no sum
+    relates the hashes of longer ones, unlike those of polynomials.
+    """
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    size = end - begin
+    out = mix(mix(size.astype(U64) + U64(seed * int(_GOLD) % (1 << 64))) ^ (eight[begin] & _FIRST[np.minimum(size, 8)]))
+    left = np.flatnonzero(size > 8)
+    k = 8
+    while len(left):
+        rest = size[left] - k
+        out[left] = mix(out[left] * _GOLD ^ (eight[begin[left] + k] & _FIRST[np.minimum(rest, 8)]))
+        left = left[rest > 8]
+        k += 8
+    return out
 
 
 def spans_of(is_word: np.ndarray, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -172,3 +160,20 @@ NOT_SPACE[[0x20, *range(0x09, 0x0E)]] = False
 #: A-Z to a-z, other bytes as they are.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
+
+
+def running_sums(sizes: Column, block: int = 256) -> Column:
+    """The sum up to and with each element of an array of integers, by built-in functions.
+
+    An array grows by copies, so it is made in blocks: the cost is that of n *
+    (n / block**2 + block) elements copied, not of n * n.
+    """
+    grown = lambda values, first: F.aggregate(values, F.array(first), lambda a, v: F.concat(a, F.array(F.element_at(a, -1) + v)))
+    zero = F.lit(0)
+
+    def of(x: Column) -> Column:
+        blocks = F.transform(F.sequence(zero, F.floor((F.size(x) - 1) / block).cast("int")), lambda b: F.slice(x, b * block + 1, F.lit(block)))
+        return let(blocks, lambda bs: let(grown(F.transform(bs, lambda b: F.aggregate(b, zero, lambda a, v: a + v)), zero), lambda before: F.flatten(
+            F.transform(bs, lambda b, i: F.slice(grown(b, F.element_at(before, i + 1)), F.lit(2), F.lit(block))))))
+
+    return let(sizes, lambda x: F.when(F.size(x) > 0, of(x)).otherwise(F.array().cast("array<int>")))
