@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .common import stored
 
 
-def components(links: DataFrame, most: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """node, component (smallest node reachable) of every node of links (a, b).
 
     Each round joins the links with the labels and takes the smallest (partial
@@ -18,7 +18,7 @@ def components(links: DataFrame, most: int = 60) -> DataFrame:
     """
     both = stored(links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct(), "links")
     labels = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("component")).select(F.col("a").alias("node"), "component"), "labels")
-    for _ in range(most):
+    while True:  # some label falls in each round, and chains shorten by powers of two
         near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("component").alias("least"))
         low = labels.join(near, F.col("node") == F.col("a")).select("node", "component", F.least("component", "least").alias("low"))
         up = labels.select(F.col("node").alias("n2"), F.col("component").alias("c2"))
@@ -26,4 +26,3 @@ def components(links: DataFrame, most: int = 60) -> DataFrame:
         labels = new.select("node", "component")
         if not new.where("changed").limit(1).count():
             return labels
-    raise RuntimeError(f"components did not settle in {most} rounds")

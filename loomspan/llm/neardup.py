@@ -23,13 +23,15 @@ drawn, so a set costs about m * (ln m + 10) points whatever its size.
    classes that are near but not near enough.
 
 Sets so small that one shingle more is too much (fewer than 6 at 0.85) can only
-be linked with equal ones.  Hashes of
-shingles have 64 bits, digests of sets 128.
+be linked with equal ones.  Registers come from 64-bit hashes of shingles, which
+only propose pairs: a link is confirmed word by word, and classes of equal sets
+are told by a cryptographic digest of the words.
 
 Defined results: a null or empty text has no shingles and is linked with
-nothing; fewer than `width` words are one shingle; rows of one doc_id are one
-document if their sets are equal; a null doc_id never names a component; an
-empty table gives an empty result; other columns do not matter.
+nothing; fewer than `width` words are one shingle; rows that repeat a doc_id and
+its text are one document, and `named` keeps different texts of one doc_id
+apart; a null doc_id never names a component; an empty table gives an empty
+result; other columns do not matter.
 """
 
 from __future__ import annotations
@@ -44,7 +46,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, NOT_SPACE, U64, Rolling, mix, passes, spans_of, stored, table, utf8
+from ..functions.rank import numbered
+from .common import LOWER, NOT_SPACE, U64, mix, passes, span_hashes, spans_of, stored, table, utf8
 from .components import components
 
 ROWS, BANDS = 5, 32
@@ -59,7 +62,7 @@ def shingle_sets(data: np.ndarray, starts: np.ndarray, width: int = WIDTH) -> li
     """The sorted distinct shingle hashes of each text."""
     data = LOWER[data]
     begin, end, first = spans_of(NOT_SPACE, data, starts)
-    h = mix(Rolling(data, 7).of(begin, end) + (end - begin).astype(U64))
+    h = span_hashes(data, begin, end, 7)
     n = max(0, len(h) - width + 1)
     sh = np.zeros(n, U64)
     for k in range(width):
@@ -78,6 +81,42 @@ def shingle_sets(data: np.ndarray, starts: np.ndarray, width: int = WIDTH) -> li
     return out
 
 
+def exact_sets(data: np.ndarray, starts: np.ndarray, width: int = WIDTH) -> list[np.ndarray]:
+    """The sorted distinct shingles of each text as numbers that stand for their words, among these texts."""
+    data = LOWER[data]
+    begin, end, first = spans_of(NOT_SPACE, data, starts)
+    edges = np.concatenate([[0], np.cumsum(end - begin)])
+    words = np.ascontiguousarray(data[NOT_SPACE[data]])
+    # Arrow compares words byte by byte.  A number past all words fills up shingles of fewer words.
+    word = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(edges), pa.py_buffer(words)]).dictionary_encode().indices.to_numpy().astype(np.int64)
+    text = np.repeat(np.arange(len(starts) - 1), np.diff(first))
+    n, fill = len(word), len(word)
+    shingle = word
+    for k in range(1, width):
+        at = np.minimum(np.arange(n) + k, max(n - 1, 0))
+        next_ = np.where((np.arange(n) + k < n) & (text[at] == text), word[at], fill)
+        shingle = np.unique(shingle * (fill + 1) + next_, return_inverse=True)[1]
+    out = []
+    for a, b in zip(first[:-1], first[1:]):
+        out.append(np.unique(shingle[a : max(b - width + 1, min(a + 1, b))]))
+    return out
+
+
+def _digest(text: bytes, size: int, small: int, width: int) -> bytes | None:
+    """What tells classes of equal sets: 128 bits of the words in order or, of fewer than `small` shingles, of the shingles sorted.
+
+    Equal digests mean equal sets.  Larger sets that are equal though their
+    words come in another order have equal registers, and are linked by those.
+    """
+    if not size:
+        return None
+    words = text.split()  # at \x20 and \x09-\x0D and nowhere else
+    if size < small:
+        shingles = {b" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))}
+        return hashlib.blake2b(b"\n".join(sorted(shingles)), digest_size=16, person=b"set").digest()
+    return hashlib.blake2b(b" ".join(words), digest_size=16, person=b"words").digest()
+
+
 def registers(sets: list[np.ndarray], m: int = REGISTERS) -> np.ndarray:
     """Register values of each non-empty set: int16, larger for a smaller least point."""
     out = np.zeros((len(sets), m), np.int16)
@@ -172,7 +211,8 @@ def sketched(docs: DataFrame, width: int = WIDTH, small: int = _small(SIMILAR))
             for i, j in passes(starts):
                 sets = shingle_sets(data[starts[i] : starts[j]], starts[i : j + 1] - starts[i], width)
                 size += [len(s) for s in sets]
-                digest += [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
+                raw, at = LOWER[data[starts[i] : starts[j]]].tobytes(), starts[i : j + 1] - starts[i]
+                digest += [_digest(raw[a:b], len(s), small, width) for a, b, s in zip(at[:-1], at[1:], sets)]
                 large = [k for k, s in enumerate(sets) if len(s) >= small]
                 got = registers([sets[k] for k in large])
                 key = np.zeros((len(large), BANDS), U64)
@@ -222,24 +262,19 @@ def _promising(pairs: DataFrame, sketches: DataFrame, similar: tuple[int, int])
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, similar: tuple[int, int]) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
-    side = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"t_{x}"))
-
-    def sets_of(col: pa.Array) -> list[np.ndarray]:
-        data, starts = utf8(pc.fill_null(col, ""))
-        return [s for i, j in passes(starts) for s in shingle_sets(data[starts[i] : starts[j]], starts[i : j + 1] - starts[i], width)]
+    """The pairs (a, b) whose full sets of shingles, compared word by word, are similar enough."""
+    side = lambda x: texts.select(F.col("doc_id").alias(x), F.coalesce("text", F.lit("")).alias(f"t_{x}"))
 
     def run(batches):
         for batch in batches:
-            for k in range(0, batch.num_rows, 200):
-                part = batch.slice(k, 200)
-                sides = []
-                for c in (2, 3):
-                    one = part.column(c).dictionary_encode()
-                    sets = sets_of(one.dictionary)
-                    sides.append([sets[i] for i in one.indices.to_pylist()])
-                keep = []
-                for a, b in zip(*sides):
+            size = sum(pc.binary_length(batch.column(c)).to_numpy(zero_copy_only=False).astype(np.int64) for c in (2, 3))
+            for i, j in passes(np.concatenate([[0], np.cumsum(size)])):
+                part = batch.slice(i, j - i)
+                both = pa.chunked_array([part.column(2), part.column(3)]).combine_chunks().dictionary_encode()
+                sets = exact_sets(*utf8(both.dictionary), width)
+                index, keep = both.indices.to_pylist(), []
+                for a, b in zip(index[: part.num_rows], index[part.num_rows :]):
+                    a, b = sets[a], sets[b]
                     common = len(np.intersect1d(a, b, assume_unique=True))
                     keep.append(similar[1] * common >= similar[0] * (len(a) + len(b) - common))
                 yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -247,6 +282,21 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, similar: tuple[in
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "t_a", "t_b").mapInArrow(run, "a long, b long")
 
 
+def named(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """docs with `node`, a number of its own for each doc_id, or for each of its texts where a doc_id has several; then also node and doc_id.
+
+    Nodes come in the order of doc_id, so that the smallest node is one of the smallest doc_id.
+    """
+    rows = docs.withColumn("node", F.col("doc_id").cast("long"))
+    if not rows.where("node is not null").groupBy("node").count().where("count > 1").limit(1).count():
+        return rows, None
+    keyed = rows.withColumn("_key", F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256))
+    places = numbered(keyed.where("node is not null").select("node", "_key").distinct(), ["node", "_key"])
+    places = stored(places.select(F.col("node").alias("_id"), F.col("_key").alias("_its"), "place"), "places")
+    joined = keyed.join(places, (F.col("node") == F.col("_id")) & (F.col("_key") == F.col("_its")), "left")
+    return joined.withColumn("node", F.col("place")).drop("_key", "_id", "_its", "place"), places.select(F.col("place").alias("node"), F.col("_id").alias("doc_id"))
+
+
 def near_duplicates(docs: DataFrame, width: int = WIDTH, similar: tuple[int, int] = SIMILAR) -> DataFrame:
     """doc_id, n_shingles and component_id of each row of docs (doc_id, text and any other columns).
 
@@ -291,8 +341,13 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, similar: tuple[int, int
 
 
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return near_duplicates(docs).select("*", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    docs, names = named(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    rows = near_duplicates(docs.select(F.col("node").alias("doc_id"), "text"))
+    if names is not None:
+        of = lambda a, b: names.select(F.col("node").alias(a), F.col("doc_id").alias(b))
+        rows = rows.join(of("doc_id", "own"), "doc_id", "left").join(of("component_id", "least"), "component_id", "left")
+        rows = rows.select(F.col("own").alias("doc_id"), "n_shingles", F.col("least").alias("component_id"))
+    return rows.select("*", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 ORACLE_SQL = r"""

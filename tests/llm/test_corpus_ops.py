@@ -51,9 +51,8 @@ def brute_repeats(texts):
     return out
 
 
-@pytest.mark.parametrize("gather", [1 << 20, 50])
-def test_repeats(spark, gather, monkeypatch):
-    texts = corpus()
+@pytest.mark.parametrize("texts", [corpus(), corpus(7) + ["".join(random.Random(k % 9).choices("ab ", k=90)) + "shared " * 3 + "".join(random.Random(2).choices("cdef", k=130)) for k in range(40)]])
+def test_repeats(spark, texts):
     rows = repeats.keep_first(frame(spark, texts)).collect()
     got = sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(bytes(r["kept"])).hexdigest()) for r in rows)
     assert got == brute_repeats(texts)
@@ -67,7 +66,7 @@ def test_repeats_in_pieces_of_a_long_text(monkeypatch):
         seen = np.zeros(n, int)
         for p in range(0, n - repeats.SIZE + 1, size):
             q = min(n, p + size + repeats.SIZE - 1)
-            _, _, _, start, count = repeats.phrases(data[p:q], np.array([0, q - p]))
+            _, _, _, start, _, count = repeats.phrases(data[p:q], np.array([0, q - p]))
             for a, c in zip(start + p, count):
                 seen[a : a + c] += 1
         assert (seen[: n - repeats.SIZE + 1] == 1).all() and not seen[n - repeats.SIZE + 1 :].any()
@@ -81,6 +80,34 @@ def test_repeats_of_odd_tables(spark):
     assert {r["doc_id"]: r["n_removed"] for r in null}[None] == 0
 
 
+@pytest.mark.parametrize("gather", [1, 200])
+def test_repeats_forwarded_in_small_gatherings(spark, gather):
+    """Tasks of their own workers would not see a patched module, so the functions of a task are run here and met in Spark."""
+    import pyarrow as pa
+
+    texts = corpus(3)
+    rows = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], ["doc_id", "text"])
+    old = repeats.GATHER, repeats.RANGE
+    repeats.GATHER, repeats.RANGE = gather, gather
+    try:
+        got = [b for b in repeats._phrase_rows([rows])]
+    finally:
+        repeats.GATHER, repeats.RANGE = old
+    covered = sum(int(n) for b in got for n, k in zip(*[repeats._unpacked(b.column(3))[2], b.column(3).to_numpy() & 15]) if k != repeats.MARK)
+    assert covered == sum(max(0, len((t or "").encode()) - repeats.SIZE + 1) for t in texts)
+
+
+def test_suffix_ranks():
+    rng = random.Random(8)
+    data = np.frombuffer("".join(rng.choice("ab") for _ in range(900)).encode() + b"ab" * 200, np.uint8)
+    for size in (8, 13, 64, 100):
+        begin = np.arange(len(data) - size + 1)
+        rank = repeats.suffix_ranks(data, begin, size)
+        strings = [data[b : b + size].tobytes() for b in begin]
+        order = {x: i for i, x in enumerate(sorted(set(strings)))}
+        assert [order[x] for x in strings] == rank.tolist()
+
+
 def brute_near(texts):
     def shingles(t):
         w = (t or "").encode().lower().split() if t else []
@@ -112,6 +139,38 @@ def test_near_duplicates(spark):
     assert neardup.near_duplicates(frame(spark, ["a"]).limit(0)).collect() == []
 
 
+def test_near_duplicates_compare_words(spark):
+    bits = [0]
+    while len(bits) < 1024:
+        bits += [1 - b for b in bits]
+    a, b = ("".join(x[k] for k in bits) for x in ("ab", "ba"))
+    long = " ".join(f"w{i}" for i in range(200))
+    texts = [f"{a} x y", f"{b} x y", f"{a} {long}", f"{b} {long}", f"{a} {long}", "p q p q p q", "q p q p q p", "p  Q p q p q p q", "r " * 500, "r r r"]
+    for t in (texts, texts[::-1]):
+        got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in neardup.near_duplicates(frame(spark, t)).collect())
+        assert got == brute_near(t)
+
+
+def test_exact_sets_are_sets_of_words():
+    texts = ["a b c a b c", "B c A", "", "a", "a b", "a b c d e a b", "A  B"]
+    data = "".join(texts).encode()
+    starts = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])])
+    for width in (3, 5):
+        sets = neardup.exact_sets(np.frombuffer(data, np.uint8), starts, width)
+        words = [t.lower().split() for t in texts]
+        want = [{tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} if w else set() for w in words]
+        assert [[len(a & b) for b in want] for a in want] == [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
+
+
+def test_several_texts_of_one_doc_id(spark):
+    texts = ["a b c d", "e f g h", "a b c d", "e f g h", "i j k l", None, None]
+    ids = [3, 3, 5, 4, None, None, 3]
+    docs, names = neardup.named(frame(spark, texts, ids=ids))
+    rows = docs.select("doc_id", "node", "text").collect()
+    assert names is not None and len({(r["doc_id"], r["text"]) for r in rows}) == len({(r["doc_id"], r["text"], r["node"]) for r in rows})
+    assert neardup.named(frame(spark, ["a", "b"]))[1] is None
+
+
 def test_registers_estimate_and_merge():
     rng = np.random.default_rng(0)
     a = rng.integers(1, 1 << 62, 900).astype(np.uint64)
