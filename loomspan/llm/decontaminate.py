@@ -3,12 +3,16 @@
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after A-Z became a-z.  The
 patterns are all windows of ``window`` consecutive words of an item; an item of
 fewer words, but not none, is one window.  For patterns of m words and blocks
-of B words, every occurrence holds a whole block that begins at a multiple of
-m - B + 1, so that only those blocks of a text are looked up in the table of
-pattern blocks, and all other positions are skipped (the shift).  Where a block
-is known, the table says at which offsets of a pattern it stands; the windows
-that begin there are looked up by hash (the bucket) and then compared word by
-word.
+of B words the shift table holds, for each block of any pattern, how far its
+last occurrence in a pattern stands before the pattern's end, and m - B + 1 for
+all other blocks.  A search looks at the block that ends at its position and
+moves on by its shift; where that is 0, the bucket of the block (patterns that
+end in it) is looked through by hash, the pattern found is compared with the
+text word by word, and the search moves on by one word.
+
+Texts are cut into stretches of `STRETCH` positions that are searched in step,
+so that each step is a few operations over arrays; a window may reach back over
+the head of its stretch, so stretches miss nothing.
 
 Defined results: null or empty texts and items have no words; a text without
 words is never contaminated; equal windows of several items count for each;
@@ -27,9 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, U64, Rolling, mix, passes, spans_of, table, utf8, with_columns
+from .common import LOWER, U64, mix, passes, span_hashes, spans_of, table, utf8, with_columns
 
 WINDOW = 13
+BLOCK = 2
+#: Positions that are searched one after the other.
+STRETCH = 192
 #: Bytes of benchmark text held by each task at a time; a larger benchmark is searched for in several parts.
 PART_BYTES = 8 << 20
 KINDS = "n_words long, hits array<int>, items array<string>"
@@ -49,7 +56,7 @@ def words_of(text: str | None) -> list[bytes]:
 def _word_hashes(words: list[bytes]) -> np.ndarray:
     data = np.frombuffer(b"".join(words), np.uint8)
     at = np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int64)
-    return mix(Rolling(data, 5).of(at[:-1], at[1:]))
+    return span_hashes(data, at[:-1], at[1:], 5)
 
 
 def _chain(h: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
@@ -73,17 +80,19 @@ class Patterns:
                     of.add(item)
         self.tables = []
         for m, windows in sorted(by.items()):
-            size = min(2, m)
-            blocks: dict[int, set[int]] = defaultdict(set)
-            buckets = []
+            size = min(BLOCK, m)
+            shift: dict[int, int] = {}
+            bucket = []
             for w in windows:
                 h = _word_hashes(w.split(b" "))
-                buckets.append(_chain(h, np.array([0]), m)[0])
-                for k, b in enumerate(_chain(h, np.arange(m - size + 1), size)):
-                    blocks[int(b)].add(k)
-            known = np.array(sorted(blocks), U64)
-            offsets = [np.array(sorted(blocks[int(b)])) for b in known]
-            self.tables.append((m, size, known, offsets, np.unique(np.array(buckets, U64)), dict(windows)))
+                blocks = _chain(h, np.arange(m - size + 1), size).tolist()
+                for k, x in enumerate(blocks):
+                    shift[x] = min(shift.get(x, m), m - size - k)
+                bucket.append((blocks[-1], int(_chain(h, np.array([0]), m)[0])))
+            known = np.array(sorted(shift), U64)
+            # A bucket is a range of pairs (last block, window), searched as one mixed key.
+            keys = np.array([b for b, _ in bucket], U64), np.array([w for _, w in bucket], U64)
+            self.tables.append((m, size, known, np.array([shift[int(x)] for x in known], np.int64), np.unique(mix(keys[0]) ^ keys[1]), dict(windows)))
 
     def search(self, data: np.ndarray, starts: np.ndarray) -> list[tuple[int, np.ndarray, set[str]]]:
         """For each text: its words, the ordinals of those that are hit, the items found."""
@@ -93,26 +102,36 @@ class Patterns:
         out = [(int(b - a), np.zeros(0, np.int32), set()) for a, b in zip(first[:-1], first[1:])]
         if not n or not self.tables:
             return out
-        h = mix(Rolling(data, 5).of(begin, end))
+        h = span_hashes(data, begin, end, 5)
         raw = data.tobytes()
         found: dict[int, list] = defaultdict(list)
-        for m, size, known, offsets, buckets, windows in self.tables:
-            probe = np.arange(0, n - size + 1, m - size + 1)
-            block = _chain(h, probe, size)
-            at = np.minimum(np.searchsorted(known, block), len(known) - 1)
-            hit = np.flatnonzero(known[at] == block)
-            if not len(hit):
-                continue
-            begins = np.unique(np.concatenate([probe[k] - offsets[at[k]] for k in hit]))
-            begins = begins[(begins >= 0) & (begins + m <= n)]
-            text = np.searchsorted(first, begins, "right") - 1
-            begins = begins[begins + m <= first[text + 1]]
-            bucket = _chain(h, begins, m)
-            place = np.minimum(np.searchsorted(buckets, bucket), len(buckets) - 1)
-            for i in begins[buckets[place] == bucket]:
-                same = windows.get(b" ".join(raw[begin[k] : end[k]] for k in range(i, i + m)))
-                if same is not None:
-                    found[int(np.searchsorted(first, i, "right")) - 1].append((i, m, same))
+        words_in = np.diff(first)
+        for m, size, known, shift, bucket, windows in self.tables:
+            # The word that ends the window stands at m - 1 or later in its text; positions are dealt into stretches.
+            last = np.maximum(words_in - m + 1, 0)
+            per = -(-last // STRETCH)
+            text = np.repeat(np.arange(len(last)), per)
+            ordinal = np.arange(len(text)) - np.repeat(np.cumsum(per) - per, per)
+            at = first[text] + m - 1 + ordinal * STRETCH
+            stop = np.minimum(at + STRETCH, first[text + 1])
+            while len(at):
+                block = _chain(h, at - size + 1, size)
+                place = np.minimum(np.searchsorted(known, block), len(known) - 1)
+                step = np.where(known[place] == block, shift[place], m - size + 1)
+                ends = np.flatnonzero(step == 0)
+                if len(ends):
+                    here = at[ends]
+                    key = mix(block[ends]) ^ _chain(h, here - m + 1, m)
+                    place = np.minimum(np.searchsorted(bucket, key), len(bucket) - 1)
+                    for k in np.flatnonzero(bucket[place] == key):
+                        i = int(here[k]) - m + 1
+                        same = windows.get(b" ".join(raw[begin[x] : end[x]] for x in range(i, i + m)))
+                        if same is not None:
+                            found[int(text[ends[k]])].append((i, m, same))
+                at = at + np.maximum(step, 1)
+                on = at < stop
+                if not on.all():
+                    at, stop, text = at[on], stop[on], text[on]
         for k, got in found.items():
             covered = np.unique(np.concatenate([np.arange(i, i + m) for i, m, _ in got])) - first[k]
             out[k] = (out[k][0], covered.astype(np.int32), set().union(*(s for *_, s in got)))

@@ -46,6 +46,21 @@ def test_runs_of_few_characters(encoder, reference, text):
     assert encoder.encode([text])[0].tolist() == reference.encode_ordinary(text)
 
 
+def thue_morse(n=1024):
+    """Two words that polynomials modulo a power of two take for one."""
+    bits = [0]
+    while len(bits) < n:
+        bits += [1 - b for b in bits]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_words_that_polynomial_hashes_confuse(spark, encoder, reference):
+    words = [*thue_morse(), *thue_morse()]
+    ids, at = encoder.encode(words)
+    assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [reference.encode_ordinary(t) for t in words]
+    assert {r["decoded_sha256"] for r in bpe.round_trip(frame(spark, words)).collect()} == {hashlib.sha256(w.encode()).hexdigest() for w in words}
+
+
 def test_texts_of_more_pieces_than_the_cache(reference, monkeypatch):
     monkeypatch.setattr(bpe, "CACHE", 40)
     encoder = bpe.Bpe(bpe.Bpe.source_of_ranks(bpe.rank_file()))
@@ -98,8 +113,8 @@ def test_pii_base_spans(spark):
     rows = pii.find(frame(spark, PII)).collect()
     for r in rows:
         got = ",".join(f"{s['kind']}:{s['start']}:{s['end']}" for s in r["pii"] if s["kind"] in pii.BASE)
-        assert got == base_spans(PII[r["doc_id"]] or ""), (r["doc_id"], got)
-    kinds = {r["doc_id"]: [(s["kind"], s["start"]) for s in r["pii"] if s["kind"] not in pii.BASE] for r in rows}
+        assert got == base_spans(PII[r["_row"]["doc_id"]] or ""), (r["_row"]["doc_id"], got)
+    kinds = {r["_row"]["doc_id"]: [(s["kind"], s["start"]) for s in r["pii"] if s["kind"] not in pii.BASE] for r in rows}
     assert kinds[8] == [("iban", 0), ("iban", 37)] and kinds[9] == [("ssn", 4)]
 
 
@@ -107,7 +122,7 @@ def test_pii_base_spans(spark):
 @given(st.lists(st.text(st.sampled_from("a.@-+ 0123459()%é"), max_size=60), min_size=1, max_size=30))
 def test_pii_base_spans_of_any_text(spark, texts):
     for r in pii.find(frame(spark, texts)).collect():
-        assert ",".join(f"{s['kind']}:{s['start']}:{s['end']}" for s in r["pii"] if s["kind"] in pii.BASE) == base_spans(texts[r["doc_id"]])
+        assert ",".join(f"{s['kind']}:{s['start']}:{s['end']}" for s in r["pii"] if s["kind"] in pii.BASE) == base_spans(texts[r["_row"]["doc_id"]])
 
 
 def test_quality_counts():
@@ -133,9 +148,15 @@ def test_quality_query_keeps_rows(spark):
 CHATS = [(1, 0, "user", "hi"), (1, 1, "assistant", "</s>[INST] ok [/INST]"), (1, 2, "assistant", ""), (2, 0, None, None), (2, 1, "tool", "[/ROLE] <\\s> [\\\\INST]"), (2, 1, "tool", "[/ROLE] <\\s> [\\\\INST]"), (3, 0, "system", "<<SYS>>é<</SYS>>"), (3, 1, "[ROLE]x", "<"), (None, 0, "assistant", "\\<"), (4, 0, "user", "[" * 50 + "/INST]" + "<" * 9)]
 
 
+def chat_marks(conv):
+    """Whether a text of the conversation holds a control string or a backslash of its own."""
+    return any(re.search(r"[<\[]\\*(?:/?(?:INST|ROLE)\]|/?s>|</?SYS>>)|\\", f"{ro or ''}\n{x or ''}") for c, _, ro, x in CHATS if c == conv)
+
+
 def test_chat_round_trip(spark):
     rows = spark.createDataFrame(CHATS, "conv_id long, turn long, role string, text string")
     for r in chat.format_chats(rows).collect():
+        assert r["identical"] and (chat_marks(r["conv_id"]) or "\\" not in r["formatted"])
         want = sorted(((t, ro or "", x or "") for c, t, ro, x in CHATS if c == r["conv_id"]))
         assert [(t["role"], t["text"]) for t in r["turns"]] == [(a, b) for _, a, b in want]
         parts = [r["formatted"][s["start"] : s["end"]] for s in r["loss"]]
