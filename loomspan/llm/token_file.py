@@ -2,7 +2,9 @@
 
 A segment holds whole consecutive documents.  Its bytes are
 
-    magic "LSTF", version, number of documents, ids, and blocks (u32 each);
+    magic "LSTF", version, number of documents, ids, blocks, and bytes of the
+    table of order 0 (u32 each); that table, deflated: for each id that the
+    segment holds, its distance from the one before and its share (u32);
     doc_id (i64) and number of ids (u32) of each document;
     number of ids, number of 16-bit words, and crc32 of the ids (u32) of each block;
     the words of the blocks; the crc32 (u32) of all bytes before it.
@@ -12,12 +14,13 @@ every block starts from the same state, so any one can be decoded and checked
 alone, and all blocks of a segment are coded in step, as lanes of numpy arrays.
 
 For each id, order 2 (the last two ids) and order 1 (the last id) each predict
-the id that followed last time.  One binary decision says whether the better
-prediction holds; its chance is mixed in the logistic domain from what order 2,
-order 1 and order 0 (how often the predicted id came) say, with weights that
-learn.  A missed id is coded by order 0: three adaptive distributions of its
-upper nibbles, and a fourth of its last one by hashed context.  All arithmetic
-is on integers, so that encoding and decoding agree on every machine.
+the id that followed last time.  A first binary decision says whether the better
+of the two predictions holds; its chance is mixed in the logistic domain from
+what order 2, order 1 and order 0 (the share of the predicted id) say, with
+weights that learn within the block.  If it does not hold and order 1 predicts
+another id, a second decision tells of that one.  What neither predicts is one
+interval of order 0.  All arithmetic is on integers, so that encoding and
+decoding agree on every machine.
 
 A corpus is a table of segments (`part`, `seq`, `n_ids`, `data`) in the shared
 folder, ordered by (part, seq) as documents by doc_id.
@@ -41,7 +44,7 @@ from pyspark.sql import functions as F
 from .bpe import Bpe, _once, rank_file
 from .common import stored, table
 
-MAGIC, VERSION = b"LSTF", 1
+MAGIC, VERSION = b"LSTF", 2
 BLOCK = 4096
 #: Ids of a segment, about; a longer document is a segment of its own.
 SEGMENT = 6 << 20
@@ -51,91 +54,111 @@ END_ID = 2
 NULL_DOC = -(1 << 63)
 #: Slots of a lane's table of each order.
 SLOTS = 1024
-HASHED = 512
+#: Bits of the shares of order 0.
+SHARE = 20
 _U = np.uint64
 
 # Fixed tables of the logistic domain: chances of 12 bits, logits of 8 bits after the point.
 _SQUASH = np.clip(np.rint(4096 / (1 + np.exp(-np.arange(-2047, 2048) / 256))), 32, 4064).astype(np.int32)
 _STRETCH = np.clip(np.rint(256 * np.log((np.arange(4096) + 0.5) / (4095.5 - np.arange(4096)))), -2047, 2047).astype(np.int32)
-#: Target of each nibble's cumulative distribution: steps of 32768 after the symbol, at least 16 for each symbol.
-_TARGET = np.array([[16 * k + (32768 - 16 * 16) * (k > s) for k in range(16)] for s in range(16)], np.int16)
-_FLAT = (np.arange(16) * 2048).astype(np.int16)
+
+
+class Shares:
+    """Order 0 of a segment: each id that it holds has a share of 2**SHARE, by how often it comes."""
+
+    def __init__(self, ids: np.ndarray, share: np.ndarray):
+        self.ids, self.share = ids.astype(np.int64), share.astype(np.int64)
+        self.below = np.zeros(1 << 16, np.int64)
+        self.of = np.zeros(1 << 16, np.int64)
+        self.below[self.ids], self.of[self.ids] = np.cumsum(self.share) - self.share, self.share
+        # What order 0 says of each id in the logistic domain; an id that the segment lacks is never predicted.
+        self.stretch = _STRETCH[np.minimum(self.of >> (SHARE - 12), 4095)]
+        self.spot: np.ndarray | None = None
+
+    @classmethod
+    def counted(cls, ids: np.ndarray) -> Shares:
+        count = np.bincount(ids, minlength=1)
+        here = np.flatnonzero(count)
+        share = 1 + (count[here] * ((1 << SHARE) - len(here)) // max(int(count.sum()), 1))
+        if len(here):
+            share[np.argmax(share)] += (1 << SHARE) - int(share.sum())
+        return cls(here, share)
+
+    def packed(self) -> bytes:
+        return zlib.compress(np.concatenate([np.diff(self.ids, prepend=0), self.share]).astype("<u4").tobytes(), 6)
+
+    @classmethod
+    def unpacked(cls, data: bytes) -> Shares:
+        both = np.frombuffer(zlib.decompress(data), "<u4").reshape(2, -1)
+        return cls(np.cumsum(both[0]), both[1])
+
+    def id_at(self, value: np.ndarray) -> np.ndarray:
+        if self.spot is None:
+            self.spot = np.repeat(self.ids, self.share)
+        return self.spot[value]
 
 
 class _Model:
     """The state of n lanes."""
 
-    def __init__(self, n: int):
-        self.n = n
+    def __init__(self, n: int, shares: Shares):
         lane = np.arange(n, dtype=np.int64)
+        self.share = shares.stretch
         self.two, self.one = np.zeros(n * SLOTS, np.int32), np.zeros(n * SLOTS, np.int32)  # id << 4 | confidence, 0: none
-        self.zero = np.zeros(n * SLOTS, np.uint8)  # how often ids of a hash came
         self.base = lane * SLOTS
-        self.rate = [np.full(n * 16, 2048, np.int32), np.full(n * 32, 2048, np.int32), np.full(n * 16, 1024, np.int32)]
+        self.rate = [np.full(n * 16, 2048, np.int32), np.full(n * 32, 2048, np.int32)]
+        self.second = np.full(n * 16, 1024, np.int32)
         self.at16, self.at32 = lane * 16, lane * 32
-        self.weight = [np.full(n, w, np.int32) for w in (22000, 22000, 12000)]
-        rows = 1 + 16 + 256 + HASHED
-        self.nibble = np.tile(_FLAT, (n * rows, 1))
-        self.row = lane * rows
-        self.last, self.before = np.zeros(n, np.int64), np.zeros(n, np.int64)
-
-    def predict(self):
-        """The predicted id of each lane (-1: none) and the chance of 16 bits that it holds."""
-        self.slot1 = self.base + ((self.last * 40503 >> 4) & (SLOTS - 1))
-        self.slot2 = self.base + ((self.last * 40503 + self.before * 30011 >> 3) & (SLOTS - 1))
+        self.weight = [np.full(n, w, np.int32) for w in (26000, 22000, 8000)]
+        self.id, self.last, self.before = (np.zeros(n, np.int64) for _ in range(3))
+
+    def predict(self) -> tuple[np.ndarray, np.ndarray]:
+        """The predicted id of each lane (-1: none) and the chance of 12 bits that it holds."""
+        self.slot1 = self.base + ((self.last >> 4) & (SLOTS - 1))
+        self.slot2 = self.base + ((self.last + self.before >> 3) & (SLOTS - 1))
         self.got1, self.got2 = self.one.take(self.slot1), self.two.take(self.slot2)
         best = np.where(self.got2 > 0, self.got2, self.got1)
         self.best = (best >> 4) - (best == 0)
-        c1, c2 = self.got1 & 15, self.got2 & 15
-        agree = (self.got1 >> 4) == (self.got2 >> 4)
-        self.slot0 = self.base + (self.best * 40503 >> 4 & (SLOTS - 1))
-        seen = np.minimum(self.zero[self.slot0], 15)
-        self.state = [self.at16 + c2, self.at32 + c1 + 16 * agree, self.at16 + seen]
-        self.stretch = [_STRETCH.take(r.take(s)) for r, s in zip(self.rate, self.state)]
-        dot = sum(w * s for w, s in zip(self.weight, self.stretch)) >> 16
-        self.chance = _SQUASH[np.clip(dot, -2047, 2047) + 2047]
+        agree = (self.got1 ^ self.got2) < 16
+        self.state = self.at16 + (self.got2 & 15), self.at32 + (self.got1 & 15) + (agree << 4)
+        self.known = [r.take(s) for r, s in zip(self.rate, self.state)]
+        self.stretch = [_STRETCH.take(k) for k in self.known]
+        self.stretch.append(self.share.take(self.best))
+        dot = self.weight[0] * self.stretch[0]
+        dot += self.weight[1] * self.stretch[1]
+        dot += self.weight[2] * self.stretch[2]
+        dot >>= 16
+        self.chance = _SQUASH.take(np.clip(dot, -2047, 2047, out=dot) + 2047)
         return self.best, self.chance
 
+    def other(self, lanes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of lanes whose prediction failed: those for which order 1 predicts another id, that id, and its state."""
+        one = self.got1[lanes]
+        has = np.flatnonzero((one > 0) & ((one >> 4) != self.best[lanes]))
+        lanes, one = lanes[has], one[has]
+        return has, (one >> 4).astype(np.int64), self.at16[lanes] + (one & 15)
+
+    def learn_other(self, state: np.ndarray, hit: np.ndarray) -> None:
+        p = self.second[state]
+        self.second[state] = p + ((hit * 4095 - p) >> 4)
+
     def learn(self, ids: np.ndarray, hit: np.ndarray) -> None:
         """What the lanes coded; the state of lanes without ids does not matter any more."""
-        bit = hit.astype(np.int32)
-        err = (bit << 12) - self.chance
-        for w, s, r, at in zip(self.weight, self.stretch, self.rate, self.state):
+        full = hit * np.int32(4095)
+        err = (full + hit) - self.chance
+        for w, s in zip(self.weight, self.stretch):
             w += (s * err + 4096) >> 13
-            np.clip(w, -65536, 131072, out=w)
-            p = r[at]
-            r[at] = p + (((bit * 4095) - p) >> 4)
+            np.clip(w, -65536, 65536, out=w)
+        for r, at, p in zip(self.rate, self.state, self.known):
+            r[at] = p + ((full - p) >> 4)
+        fresh = (ids << 4).astype(np.int32) | 1
         for kept, slot, got in ((self.two, self.slot2, self.got2), (self.one, self.slot1, self.got1)):
-            same = (got >> 4) == ids
             conf = got & 15
-            kept[slot] = np.where(same & (got > 0), got + (conf < 15), np.where((conf > 1) & (got > 0), (got & ~15) | (conf >> 1), (ids << 4) | 1)).astype(np.int32)
-        slot = self.base + (ids * 40503 >> 4 & (SLOTS - 1))
-        count = self.zero[slot]
-        self.zero[slot] = count + (count < 255)
-        self.before, self.last = self.last, ids.astype(np.int64)
-
-    def rows(self, lanes: np.ndarray, k: int, upper: np.ndarray) -> np.ndarray:
-        """The place of the distribution of nibble k, given the nibbles above it."""
-        at = self.row[lanes]
-        if k == 0:
-            return at
-        if k == 1:
-            return at + 1 + upper
-        if k == 2:
-            return at + 17 + upper
-        return at + 273 + ((upper * 40503 >> 5) & (HASHED - 1))
-
-    def bend(self, at: np.ndarray, row: np.ndarray, symbol: np.ndarray) -> None:
-        self.nibble[at] = row + ((_TARGET.take(symbol, axis=0) - row) >> 4)
-
-
-def _ends(row: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Cumulative count before each symbol, and its own, of 32768."""
-    at = np.arange(0, row.size, 16) + symbol
-    flat = row.ravel()
-    low = flat.take(at).astype(_U)
-    high = np.where(symbol < 15, flat.take(at + (symbol < 15)).astype(np.int32), 32768).astype(_U)
-    return low, high - low
+            same = (got ^ fresh) < 16
+            same &= got > 0
+            # Confirmed: one step up; contradicted: half of it while there is some, else the new id.
+            kept[slot] = np.where(same, got + (conf < 15), np.where(conf > 1, (got ^ conf) | (conf >> 1), fresh))
+        self.before, self.last, self.id = self.id * 30011, ids * 40503, ids
 
 
 class _Encoder:
@@ -150,13 +173,14 @@ class _Encoder:
         r = width >> _U(bits)
         low, width = low + r * below, r * count
         small = np.flatnonzero(width < _U(1 << 32))
-        if len(small):
+        while len(small):
             at, x = small if lanes is None else lanes[small], low[small]
             size = self.size[at]
             self.out[at, size] = x >> _U(32)
             self.size[at] = size + 1
             low[small] = (x & _U(0xFFFFFFFF)) << _U(16)
             width[small] <<= _U(16)
+            small = small[width[small] < _U(1 << 32)]
         return low, width
 
     def finish(self) -> list[np.ndarray]:
@@ -183,15 +207,20 @@ class _Reader:
     def step(self, code: np.ndarray, width: np.ndarray, lanes: np.ndarray | None) -> None:
         """Read on where the range has become small; code and width of some lanes (None: the first ones) change in place."""
         small = np.flatnonzero(width < _U(1 << 32))
-        if len(small):
+        while len(small):
             at = small if lanes is None else lanes[small]
             place = self.place[at]
             code[small] = (code[small] << _U(16)) | self.words[at, np.minimum(place, self.words.shape[1] - 1)].astype(_U)
             self.place[at] = place + 1
             width[small] <<= _U(16)
+            small = small[width[small] < _U(1 << 32)]
+
+
+def _code(coder: _Encoder, lanes: np.ndarray, low: np.ndarray, count: np.ndarray, bits: int) -> None:
+    coder.low[lanes], coder.range[lanes] = coder.step(coder.low[lanes], coder.range[lanes], lanes, low, count, bits)
 
 
-def encode_blocks(blocks: list[np.ndarray]) -> list[np.ndarray]:
+def encode_blocks(blocks: list[np.ndarray], shares: Shares) -> list[np.ndarray]:
     """The 16-bit words of each block of ids; blocks in order of falling length."""
     if not blocks:
         return []
@@ -201,7 +230,7 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[np.ndarray]:
     for k, b in enumerate(blocks):
         ids[: len(b), k] = b
     on = (sizes[None, :] > np.arange(steps)[:, None]).sum(axis=1).tolist()
-    model, coder = _Model(len(blocks)), _Encoder(len(blocks), 5 * steps + 8)
+    model, coder = _Model(len(blocks), shares), _Encoder(len(blocks), 4 * steps + 8)
     for t in range(steps):
         best, chance = model.predict()
         now = ids[t]
@@ -210,54 +239,62 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[np.ndarray]:
         p, h = chance[:n].astype(_U), hit[:n]
         coder.low[:n], coder.range[:n] = coder.step(coder.low[:n], coder.range[:n], None, np.where(h, _U(0), p), np.where(h, p, _U(4096) - p), 12)
         miss = np.flatnonzero(~h)
-        low, width, missed = coder.low[miss], coder.range[miss], now[miss]
-        upper = np.zeros(len(miss), np.int64)
-        for k in range(4):
-            symbol = missed >> (12 - 4 * k) & 15
-            at = model.rows(miss, k, upper)
-            row = model.nibble.take(at, axis=0)
-            low, width = coder.step(low, width, miss, *_ends(row, symbol), 15)
-            model.bend(at, row, symbol)
-            upper = upper << 4 | symbol
-        coder.low[miss], coder.range[miss] = low, width
+        has, other, state = model.other(miss)
+        if len(has):
+            lanes = miss[has]
+            p, h = np.clip(model.second[state], 32, 4064).astype(_U), other == now[lanes]
+            _code(coder, lanes, np.where(h, _U(0), p), np.where(h, p, _U(4096) - p), 12)
+            model.learn_other(state, h)
+            if h.any():
+                left = np.ones(len(miss), bool)
+                left[has[h]] = False
+                miss = miss[left]
+        x = now[miss]
+        _code(coder, miss, shares.below[x].astype(_U), shares.of[x].astype(_U), SHARE)
         model.learn(now, hit)
     return coder.finish()
 
 
-def decode_blocks(words: list[np.ndarray], sizes: np.ndarray) -> list[np.ndarray]:
+def decode_blocks(words: list[np.ndarray], sizes: np.ndarray, shares: Shares) -> list[np.ndarray]:
     """The ids of each block; blocks in order of falling length."""
     if not len(words):
         return []
     steps = int(sizes.max())
     ids = np.zeros((steps, len(words)), np.int64)
     on = (sizes[None, :] > np.arange(steps)[:, None]).sum(axis=1).tolist()
-    model, coder = _Model(len(words)), _Reader(words)
+    model, coder = _Model(len(words), shares), _Reader(words)
+
+    def decide(lanes, chance: np.ndarray) -> np.ndarray:
+        code, width, p = coder.code[lanes], coder.range[lanes] >> _U(12), chance.astype(_U)
+        bound = width * p
+        h = code < bound
+        code, width = np.where(h, code, code - bound), np.where(h, bound, width * (_U(4096) - p))
+        coder.step(code, width, None if isinstance(lanes, slice) else lanes)
+        coder.code[lanes], coder.range[lanes] = code, width
+        return h
+
     for t in range(steps):
         best, chance = model.predict()
         n = on[t]
-        r, p = coder.range[:n] >> _U(12), chance[:n].astype(_U)
-        bound, code = r * p, coder.code[:n]
-        h = code < bound
-        code, width = np.where(h, code, code - bound), np.where(h, bound, r * (_U(4096) - p))
-        coder.step(code, width, None)
-        coder.code[:n], coder.range[:n] = code, width
+        now = best.astype(np.int64)
+        h = decide(slice(0, n), chance[:n])
         miss = np.flatnonzero(~h)
-        code, width = code[miss], width[miss]
-        upper = np.zeros(len(miss), np.int64)
-        for k in range(4):
-            at = model.rows(miss, k, upper)
-            row = model.nibble.take(at, axis=0)
-            r = width >> _U(15)
-            value = np.minimum(code // r, _U(32767)).astype(np.int16)
-            symbol = (row <= value[:, None]).sum(axis=1) - 1
-            low, count = _ends(row, symbol)
-            code, width = code - r * low, r * count
-            coder.step(code, width, miss)
-            model.bend(at, row, symbol)
-            upper = upper << 4 | symbol
+        has, other, state = model.other(miss)
+        if len(has):
+            lanes = miss[has]
+            h = decide(lanes, np.clip(model.second[state], 32, 4064))
+            model.learn_other(state, h)
+            now[lanes[h]] = other[h]
+            if h.any():
+                left = np.ones(len(miss), bool)
+                left[has[h]] = False
+                miss = miss[left]
+        code, width = coder.code[miss], coder.range[miss] >> _U(SHARE)
+        x = shares.id_at(np.minimum(code // width, _U((1 << SHARE) - 1)).astype(np.int64))
+        code, width = code - width * shares.below[x].astype(_U), width * shares.of[x].astype(_U)
+        coder.step(code, width, miss)
         coder.code[miss], coder.range[miss] = code, width
-        now = best.astype(np.int64)
-        now[miss] = upper
+        now[miss] = x
         ids[t, :n] = now[:n]
         model.learn(now, best == now)
     return [ids[:n, k].astype("<u4") for k, n in enumerate(sizes)]
@@ -270,9 +307,11 @@ def write_segment(docs: list[int], sizes: np.ndarray, ids: np.ndarray, block: in
         raise ValueError("ids of more than 16 bits have no place in this format")
     blocks = [ids[k : k + block] for k in range(0, len(ids), block)]
     words: list[np.ndarray] = []
+    shares = Shares.counted(ids)
     for k in range(0, len(blocks), LANES):
-        words += encode_blocks(blocks[k : k + LANES])
-    head = MAGIC + struct.pack("<4I", VERSION, len(docs), len(ids), len(blocks))
+        words += encode_blocks(blocks[k : k + LANES], shares)
+    order0 = shares.packed()
+    head = MAGIC + struct.pack("<5I", VERSION, len(docs), len(ids), len(blocks), len(order0)) + order0
     head += np.array(docs, "<i8").tobytes() + np.asarray(sizes).astype("<u4").tobytes()
     head += np.array([(len(b), len(w), zlib.crc32(b.tobytes())) for b, w in zip(blocks, words)], "<u4").tobytes()
     body = head + b"".join(w.tobytes() for w in words)
@@ -283,19 +322,20 @@ def read_segment(data: bytes, only: int | None = None) -> tuple[np.ndarray, np.n
     """doc_ids, ids of each document, and all ids (or those of one block); an error if a checksum does not fit."""
     if data[:4] != MAGIC or zlib.crc32(data[:-4]) != struct.unpack("<I", data[-4:])[0]:
         raise ValueError("not a whole segment")
-    version, n, total, count = struct.unpack("<4I", data[4:20])
+    version, n, total, count, size = struct.unpack("<5I", data[4:24])
     if version != VERSION:
         raise ValueError(f"version {version} of a segment is not known")
-    docs = np.frombuffer(data, "<i8", n, 20)
-    sizes = np.frombuffer(data, "<u4", n, 20 + 8 * n)
-    table_ = np.frombuffer(data, "<u4", 3 * count, 20 + 12 * n).reshape(-1, 3)
-    at = 20 + 12 * n + 12 * count + 2 * np.concatenate([[0], np.cumsum(table_[:, 1])]).astype(np.int64)
+    shares, head = Shares.unpacked(data[24 : 24 + size]), 24 + size
+    docs = np.frombuffer(data, "<i8", n, head)
+    sizes = np.frombuffer(data, "<u4", n, head + 8 * n)
+    table_ = np.frombuffer(data, "<u4", 3 * count, head + 12 * n).reshape(-1, 3)
+    at = head + 12 * n + 12 * count + 2 * np.concatenate([[0], np.cumsum(table_[:, 1])]).astype(np.int64)
     words = [np.frombuffer(data, "<u2", int(k), int(a)) for a, k in zip(at, table_[:, 1])]
     chosen = range(count) if only is None else [only]
     out: list[np.ndarray] = []
     for k in range(0, len(chosen), LANES):
         part = chosen[k : k + LANES]
-        got = decode_blocks([words[i] for i in part], table_[part, 0].astype(np.int64))
+        got = decode_blocks([words[i] for i in part], table_[part, 0].astype(np.int64), shares)
         for i, ids in zip(part, got):
             if zlib.crc32(ids.tobytes()) != table_[i, 2]:
                 raise ValueError(f"block {i} of a segment is damaged")
@@ -325,7 +365,7 @@ def write_tokens(docs: DataFrame, tokenizer: str | None = None, segment: int = S
             return out
 
         for batch in batches:
-            ids, at = bpe.encode(pc.fill_null(batch.column(1), "").to_pylist())
+            ids, at = bpe.encode(pc.fill_null(batch.column(1), ""))
             for doc, a, b in zip(batch.column(0).to_pylist(), at[:-1], at[1:]):
                 held.append((NULL_DOC if doc is None else doc, np.append(ids[a:b], np.uint32(END_ID))))
                 size += int(b - a) + 1
