@@ -6,13 +6,17 @@ Grammar of a formatted conversation (nothing stands between turns):
     user      := "[INST]" body "[/INST]"          assistant := "<s>" body "</s>"
     system    := "<<SYS>>" body "<</SYS>>"        other     := "[ROLE]" role "[/ROLE]" user
 
-A control string is any of these marks; within a role or body it is escaped by
-a backslash after its first character, and one that already carries backslashes
-there gets one more, which undoes uniquely.  A conversation is rendered as it is
-unless a text of it holds a control string, plain or escaped; then all its texts
-are escaped.  The rendering is parsed back and its turns compared with the
-source; if one differed, the query would fail rather than return it.
-The loss mask covers the bodies of assistant turns.
+A control string is any of these marks; none may stand within a role or body.
+Escaping puts a backslash after its first character; one that already carries
+backslashes there gets one more, which undoes uniquely.
+
+Each turn is rendered as it is and parsed back.  If the parser does not give the
+turn's role and text (a mark within a body is an error to it, and an escape is
+undone), what conflicts in them is escaped and the turn rendered again; that one
+parses to the source, as no mark is left within it.  The whole conversation is
+parsed once more from its formatted text, and `identical` tells whether its
+turns are those of the source.  The loss mask covers the bodies of assistant
+turns.
 
 Defined results: a null text or role is empty; turns are in order of turn, then
 role, then text (ties, repeated rows); an empty table gives an empty result;
@@ -24,10 +28,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import let
 from .common import table
 
 CONTROL = r"([<\[])(\\*)((?:/?(?:INST|ROLE)\]|/?s>|</?SYS>>))"
 ESCAPED = r"([<\[])\\(\\*)((?:/?(?:INST|ROLE)\]|/?s>|</?SYS>>))"
+#: A mark that is not escaped.
+MARK = r"[<\[](?:(?:/?(?:INST|ROLE)\]|/?s>|</?SYS>>))"
 TURN = r"(?s)(?:\[ROLE\].*?\[/ROLE\])?\[INST\].*?\[/INST\]|<s>.*?</s>|<<SYS>>.*?<</SYS>>"
 _MARKS = {"user": ("[INST]", "[/INST]"), "assistant": ("<s>", "</s>"), "system": ("<<SYS>>", "<</SYS>>")}
 
@@ -49,19 +56,30 @@ def _render(role: Column, text: Column) -> Column:
 
 
 def parse(formatted: Column) -> Column:
-    """The turns of a formatted conversation: array of struct(role, text, at, body), texts unescaped; at: code points before the body, body: its code points."""
+    """The turns of a formatted conversation: array of struct(role, text, n, lead, all), unescaped.
+
+    n: code points of the body as it stands, lead: those before it, all: those of
+    the turn.  A role or body that holds a mark is an error: its text is null.
+    """
     inner = lambda t, a, b: F.substr(t, F.lit(len(a) + 1), F.length(t) - len(a) - len(b))
 
     def one(t: Column) -> Column:
         role_end = F.instr(t, "[/ROLE]")
-        other = F.struct(F.substr(t, F.lit(7), role_end - 7).alias("role"), F.substr(t, role_end + 13, F.length(t) - role_end - 19).alias("body"), (role_end + 12).alias("lead"))
-        out = other
+        out = F.struct(F.substr(t, F.lit(7), role_end - 7).alias("role"), F.substr(t, role_end + 13, F.length(t) - role_end - 19).alias("body"), (role_end + 12).alias("lead"))
         for name, (a, b) in _MARKS.items():
             out = F.when(t.startswith(a), F.struct(F.lit(name).alias("role"), inner(t, a, b).alias("body"), F.lit(len(a)).alias("lead"))).otherwise(out)
         return out
 
-    pieces = F.regexp_extract_all(formatted, F.lit(TURN), F.lit(0))
-    return F.transform(pieces, lambda t: F.struct(unescape(one(t)["role"]).alias("role"), unescape(one(t)["body"]).alias("text"), F.length(one(t)["body"]).alias("n"), one(t)["lead"].alias("lead"), F.length(t).alias("all")))
+    read = lambda x: F.when(~x.rlike(MARK), unescape(x))
+    pieces = F.transform(F.regexp_extract_all(formatted, F.lit(TURN), F.lit(0)), lambda t: F.struct(one(t).alias("x"), F.length(t).alias("all")))
+    return F.transform(pieces, lambda p: F.struct(read(p["x"]["role"]).alias("role"), read(p["x"]["body"]).alias("text"), F.length(p["x"]["body"]).alias("n"), p["x"]["lead"].alias("lead"), p["all"].alias("all")))
+
+
+def _survives(turn: Column, role: Column, text: Column) -> Column:
+    """Whether a rendered turn parses to this role and text, and to nothing else."""
+    read = parse(turn)
+    same = lambda p: (F.size(p) == 1) & (p[0]["role"] == role) & (p[0]["text"] == text) & (p[0]["all"] == F.length(turn))
+    return F.coalesce(let(read, same), F.lit(False))
 
 
 def _digest_text(turns: Column) -> Column:
@@ -69,22 +87,18 @@ def _digest_text(turns: Column) -> Column:
 
 
 def format_chats(rows: DataFrame) -> DataFrame:
-    """conv_id, formatted, turns (as parsed from it) and loss (array of struct(start, end), code points) of each conversation.
+    """conv_id, formatted, turns (as parsed from it), loss (array of struct(start, end), code points) and identical of each conversation.
 
-    Turns are rendered and compared before they are gathered; a conversation is
-    one row, as its formatted text is one string.
+    A conversation is one row, as its formatted text is one string.
     """
     role, text = F.coalesce(F.col("role").cast("string"), F.lit("")), F.coalesce(F.col("text").cast("string"), F.lit(""))
     turn = F.struct("turn", role.alias("role"), text.alias("text"))
     chats = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("source"))
-    plain = F.array_join(F.transform("source", lambda t: _render(t["role"], t["text"])), "")
-    safe = F.array_join(F.transform("source", lambda t: _render(escape(t["role"]), escape(t["text"]))), "")
     pairs = lambda x: F.transform(x, lambda t: F.struct(t["role"], t["text"]))
-    # Without a control string, plain or escaped, in any text, the plain rendering parses back by the grammar; the comparison below holds for all.
-    conflict = F.exists("source", lambda t: t["text"].rlike(CONTROL) | t["role"].rlike(CONTROL))
-    done = chats.select("conv_id", "source", F.when(conflict, safe).otherwise(plain).alias("formatted"))
-    read = done.withColumn("parsed", parse(F.col("formatted")))
-    read = read.withColumn("formatted", F.when(pairs(F.col("parsed")) == pairs(F.col("source")), F.col("formatted")).otherwise(F.raise_error(F.lit("a conversation did not survive its round trip"))))
+    plain = F.transform("source", lambda t: F.struct(t["role"], t["text"], _render(t["role"], t["text"]).alias("turn")))
+    kept = F.transform(plain, lambda t: F.when(_survives(t["turn"], t["role"], t["text"]), t["turn"]).otherwise(_render(escape(t["role"]), escape(t["text"]))))
+    read = chats.select("conv_id", "source", F.array_join(kept, "").alias("formatted")).withColumn("parsed", parse(F.col("formatted")))
+    read = read.withColumn("identical", F.coalesce(pairs(F.col("parsed")) == pairs(F.col("source")), F.lit(False)))
     none = F.expr("CAST(array() AS array<struct<start:int,end:int>>)")
 
     def step(acc: Column, t: Column) -> Column:
@@ -93,7 +107,7 @@ def format_chats(rows: DataFrame) -> DataFrame:
         return F.struct((acc["at"] + t["all"]).alias("at"), F.when(t["role"] == "assistant", F.concat(acc["out"], span)).otherwise(acc["out"]).alias("out"))
 
     loss = F.aggregate("parsed", F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda a: a["out"])
-    return read.select("conv_id", "formatted", pairs(F.col("parsed")).alias("turns"), loss.alias("loss"))
+    return read.select("conv_id", "formatted", pairs(F.col("parsed")).alias("turns"), loss.alias("loss"), "identical")
 
 
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
