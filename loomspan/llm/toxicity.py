@@ -2,17 +2,19 @@
 
 Voters are terms of a lexicon (a few seed words, and words and word heads mined
 from labelled texts by their odds) and patterns (shouting, runs of marks, short
-insulting forms of address).  A generative label model gives each voter a rate
-of firing on toxic and on clean texts; the label, where known, is one more
-voter.  The rates are estimated by expectation maximisation; the correlations
-that remain between voters within a class lower the weight of voters that say
-the same.  A linear classifier (logistic, L2) over the voters is then trained on
-the posterior labels, so that a score is a sum over the terms of a text.
-
-The model is fitted on at most `sample` labelled texts, those of the smallest
-hash of doc_id (a documented bound; scoring covers every text).  Which labels
-may be learned from is the caller's choice; lang, source, doc_id and labels are
-never inputs of a score.
+insulting forms of address).  They vote on labelled and unlabelled texts alike.
+A generative label model estimates how often each voter fires on toxic and on
+clean texts, by expectation maximisation over the votes alone: no text brings
+its label along, which only gives the rates to start from.  A voter that does
+not fire abstains; that none fires is a vote of its own.  Where voters fire
+together that are correlated within a class, they share their weight.  A linear classifier (logistic, L2) over the voters is then
+trained on the posterior labels, so that a score is a sum over the terms of a
+text.  `Model.agreement` tells how often the posterior agrees with the labels.
+
+The model is fitted on at most `sample` labelled texts and as many of all texts,
+those of the smallest hash of doc_id (a documented bound; scoring covers every
+text).  Which labels may be learned from is the caller's choice; lang, source,
+doc_id and labels are never inputs of a score.
 
 Defined results: a null or empty text has no terms and gets the score of the
 bias; without labelled texts the seed lexicon alone scores; a label of a doc_id
@@ -40,6 +42,8 @@ TERMS = 400
 HEADS = range(4, 9)
 #: Least texts of the sample with a term, and least z-score of its log-odds, for it to become a voter.
 LEAST, Z = 4, 4.0
+#: Least share of toxic ones among the labelled texts with a mined term.
+PRECISION = 0.85
 CUT = 0.3
 SEEDS = "idiot moron stupid loser scum trash pathetic disgusting worthless clown dumb fool jerk bastard shut idiota imbécil estúpido basura dumm trottel abschaum widerlich crétin connard ordure".split()
 _WORD = re.compile(r"[^\W\d_]+")
@@ -59,34 +63,43 @@ def _sigmoid(x):
 
 
 class LabelModel:
-    """Votes (texts x voters, 0 or 1) and known labels (1, 0 or nan) to posterior labels."""
-
-    def __init__(self, rounds: int = 12):
-        self.rounds = rounds
-
-    def fit(self, votes: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Votes (texts x voters, 0 or 1) to posterior labels, without labels.
+
+    on, off and prior: the rates to start from, which later count as `held` times
+    as many texts as vote, so that what else tells texts apart (language, length)
+    cannot take their place.  Correlations are those of the first posterior, by
+    the rates to start from, as later ones would feed on what they weaken.
+    """
+
+    def __init__(self, rounds: int = 12, held: float = 1.0, close: float = 0.3, least: float = 20.0):
+        self.rounds, self.held, self.close, self.least = rounds, held, close, least
+
+    def _related(self, votes: np.ndarray, y: np.ndarray, rate: np.ndarray) -> np.ndarray:
+        """Correlations of voters among texts that belong to a class by weights y."""
+        z = (votes - rate) * np.sqrt(y)[:, None]
+        cov = z.T @ z / max(y.sum(), 1)
+        sd = np.sqrt(np.maximum(np.diag(cov), 1e-6))
+        out = cov / sd[:, None] / sd[None, :]
+        # Voters that hardly fire in the class tell nothing there.
+        out[y @ votes < self.least] = 0
+        out[:, y @ votes < self.least] = 0
+        np.fill_diagonal(out, 0)
+        return out
+
+    def fit(self, votes: np.ndarray, on: np.ndarray, off: np.ndarray, prior: float) -> np.ndarray:
         n, k = votes.shape
-        seen = ~np.isnan(known)
-        y = np.where(seen, np.nan_to_num(known), 0.1)
-        self.weight = np.ones(k)
-        for _ in range(self.rounds):
-            total = y.sum(), (1 - y).sum()
-            self.prior = (total[0] + 1) / (n + 2)
-            self.on = (votes.T @ y + 0.1) / (total[0] + 1)  # rate of firing on toxic texts
-            self.off = (votes.T @ (1 - y) + 0.1) / (total[1] + 1)
-            self.label_accuracy = float(np.clip(1 - np.abs(np.nan_to_num(known) - y)[seen].mean(), 0.6, 0.995)) if seen.any() else 0.5
-            llr, quiet = np.log(self.on / self.off), np.log((1 - self.on) / (1 - self.off))
-            log = math.log(self.prior / (1 - self.prior)) + votes @ (self.weight * (llr - quiet)) + (self.weight * quiet).sum()
-            say = math.log(self.label_accuracy / (1 - self.label_accuracy)) if seen.any() else 0
-            y = _sigmoid(log + np.where(seen, np.where(np.nan_to_num(known) > 0.5, say, -say), 0))
-            # What voters share within the toxic class beyond chance.
-            z = (votes - self.on) * np.sqrt(y)[:, None]
-            cov = z.T @ z / max(y.sum(), 1)
-            sd = np.sqrt(np.maximum(np.diag(cov), 1e-6))
-            self.correlation = cov / sd[:, None] / sd[None, :]
-            over = np.where(self.correlation > 0.3, self.correlation, 0)
-            np.fill_diagonal(over, 0)
-            self.weight = 1 / (1 + over.sum(axis=1))
+        self.on, self.off, self.prior, self.weight = on, off, prior, np.ones((n, k))
+        for k in range(self.rounds):
+            llr = np.log(self.on / self.off)
+            y = _sigmoid(math.log(self.prior / (1 - self.prior)) + (votes * self.weight) @ llr)
+            if k == 0:
+                self.correlation = self._related(votes, y, on), self._related(votes, 1 - y, off)
+                close = np.maximum(*[np.where(c > self.close, c, 0) for c in self.correlation])
+                self.weight = 1 / (1 + votes @ close)
+            total, held = (y.sum(), (1 - y).sum()), self.held * n
+            self.prior = float((total[0] + held * prior) / (n + held))
+            self.on = (votes.T @ y + held * prior * on) / (total[0] + held * prior)
+            self.off = (votes.T @ (1 - y) + held * (1 - prior) * off) / (total[1] + held * (1 - prior))
         return y
 
 
@@ -122,10 +135,10 @@ def train_linear(votes: np.ndarray, y: np.ndarray, l2: float = 1e-4, rounds: int
 
 
 class Model:
-    """Weights of terms, and the bias."""
+    """Weights of terms, the bias, and how often the posterior agreed with the labels it did not see (none: nan)."""
 
-    def __init__(self, weights: dict[str, float], bias: float):
-        self.weights, self.bias = weights, bias
+    def __init__(self, weights: dict[str, float], bias: float, agreement: float = math.nan):
+        self.weights, self.bias, self.agreement = weights, bias, agreement
         self.patterns = {k: p for k, p in PATTERNS.items() if k in weights}
         self.plain = {k: w for k, w in weights.items() if k[0] not in "^!"}
         self.heads = {n: {k[1:]: w for k, w in weights.items() if k[0] == "^" and len(k) == n + 1} for n in HEADS}
@@ -146,12 +159,15 @@ def seed_model() -> Model:
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """docs: doc_id, text; labels: doc_id, toxic (those that may be learned from)."""
-    chosen = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("double").alias("toxic"))
-    # A top-k of `sample` ids: its size is bounded, so it is broadcast, and texts are not shuffled.
-    chosen = stored(chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample), "labelled")
+    known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("double").alias("toxic"))
+    first = lambda df: df.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    every = docs.where("doc_id is not null").select("doc_id", F.lit(None).cast("double").alias("toxic"))
+    # Two top-k of `sample` ids: their size is bounded, so they are broadcast, and texts are not shuffled.
+    chosen = stored(first(known).unionByName(first(every)).groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "chosen")
     packed = docs.join(F.broadcast(chosen.withColumnRenamed("doc_id", "_id")), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "toxic")
     found = with_columns(packed, lambda col: {"terms": pa.array([sorted(terms(t)) for t in col.to_pylist()], pa.list_(pa.string()))}, "terms array<string>")
-    rows = stored(found.select("_row.doc_id", "_row.toxic", "terms"), "terms")
+    both = stored(found.select("_row.doc_id", "_row.toxic", "terms"), "terms")
+    rows = both.where("toxic is not null")
     size, toxic = rows.agg(F.count("*"), F.sum("toxic")).first()
     toxic = toxic or 0.0
     if not size or not toxic or toxic == size:
@@ -160,19 +176,24 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     odds = F.log(a / (toxic + 1 - a)) - F.log(b / (size - toxic + 1 - b))
     z = odds / F.sqrt(1 / a + 1 / b)
     counted = rows.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("toxic").alias("pos"), F.count("*").alias("all"))
-    mined = counted.where((F.col("pos") >= LEAST) | F.col("term").isin(SEEDS)).withColumn("z", z).where((F.col("z") >= Z) | F.col("term").isin(SEEDS) & (F.col("z") > 0))
+    mined = counted.where((F.col("pos") >= LEAST) | F.col("term").isin(SEEDS)).withColumn("z", z).where((F.col("z") >= Z) & (F.col("pos") >= PRECISION * F.col("all")) | F.col("term").isin(SEEDS) & (F.col("z") > 0))
     # A report of the best terms, longest first among equals: a bounded list.
     best = [r[0] for r in mined.orderBy(F.desc(F.round("z", 6)), F.desc(F.length("term")), "term").limit(10 * TERMS).select("term").collect()]
     lexicon = unlike(best)[:TERMS]
     lexicon += [p for p in PATTERNS if p not in lexicon]
     place = {t: k for k, t in enumerate(lexicon)}
-    hits = rows.select("doc_id", "toxic", F.array_intersect("terms", F.array(*map(F.lit, lexicon))).alias("hits")).orderBy("doc_id").collect()
+    hits = both.select("doc_id", "toxic", F.array_intersect("terms", F.array(*map(F.lit, lexicon))).alias("hits")).orderBy("doc_id", F.size("hits")).collect()
     votes = np.zeros((len(hits), len(lexicon)), np.float32)
     for i, r in enumerate(hits):
         votes[i, [place[t] for t in r["hits"]]] = 1
-    posterior = LabelModel().fit(votes, np.array([r["toxic"] for r in hits]))
+    label = np.array([np.nan if r["toxic"] is None else r["toxic"] for r in hits])
+    said = np.hstack([votes, ~votes.any(axis=1, keepdims=True)])
+    rate = lambda mine: (said[mine].sum(axis=0, dtype=float) + 0.1) / (mine.sum() + 1)
+    posterior = LabelModel().fit(said, rate(label == 1), rate(label == 0), float(toxic / size))
+    seen = ~np.isnan(label)
+    agreement = float(((posterior >= 0.5) == (label >= 0.5))[seen].mean())
     weights, bias = train_linear(votes, posterior)
-    return Model({t: round(float(w), 6) for t, w in zip(lexicon, weights) if abs(w) > 1e-6}, round(bias, 6))
+    return Model({t: round(float(w), 6) for t, w in zip(lexicon, weights) if abs(w) > 1e-6}, round(bias, 6), agreement)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -187,7 +208,7 @@ def held_out(doc_id: str = "doc_id"):
 
 def fitted(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> Model:
     docs = table(spark, sf_dir, "documents") if docs is None else docs
-    return fit(docs.select("doc_id", "text"), table(spark, sf_dir, "labels").where(~held_out()).select("doc_id", "toxic"))
+    return fit(docs.where(~held_out()).select("doc_id", "text"), table(spark, sf_dir, "labels").where(~held_out()).select("doc_id", "toxic"))
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,6 +27,7 @@ def made(n=600, seed=2):
 def test_held_out_accuracy(spark):
     docs, labels = made()
     model = toxicity.fit(spark.createDataFrame(docs[:450], DOCS).select("doc_id", "text"), spark.createDataFrame(labels[:450] + [(None, 1), (3, None)], "doc_id long, toxic int"))
+    assert model.agreement > 0.97
     truth = dict(labels)
     rows = toxicity.score(spark.createDataFrame(docs[450:] + [(900, None, None, None), (901, "", None, None)], DOCS), model).collect()
     assert all(0 <= r["score"] <= 1 for r in rows) and len(rows) == 152
@@ -48,12 +49,16 @@ def test_label_model_learns_accuracies_and_correlations():
     good = (rng.random(4000) < np.where(y, 0.8, 0.02)).astype(np.float32)
     twin = np.where(rng.random(4000) < 0.98, good, 1 - good).astype(np.float32)
     weak = (rng.random(4000) < np.where(y, 0.3, 0.2)).astype(np.float32)
-    known = np.where(rng.random(4000) < 0.5, y.astype(float), np.nan)
+    few = rng.random(4000) < 0.05
+    votes = np.stack([good, twin, weak, 1 - np.maximum(good, twin)], 1)
+    rate = lambda mine: votes[few & mine].mean(axis=0) * 0.98 + 0.01
     model = toxicity.LabelModel()
-    posterior = model.fit(np.stack([good, twin, weak], 1), known)
-    assert ((posterior > 0.5) == y).mean() > 0.9
-    assert model.on[0] > 0.7 and model.off[0] < 0.1 and model.correlation[0, 1] > 0.8 > abs(model.correlation[0, 2])
-    assert model.weight[0] < 0.7 < model.weight[2]
+    posterior = model.fit(votes, rate(y), rate(~y), 0.25)
+    assert ((posterior > 0.5) == y).mean() > 0.9 and abs(model.prior - 0.3) < 0.1
+    assert model.on[0] > 0.7 and model.off[0] < 0.1
+    assert max(c[0, 1] for c in model.correlation) > 0.5 and all(abs(c[0, 2]) < 0.3 for c in model.correlation)
+    both, alone = good.astype(bool) & twin.astype(bool), good.astype(bool) & ~twin.astype(bool)
+    assert (model.weight[both][:, 0] < 0.7).all() and (model.weight[alone][:, 0] > 0.7).all() and (model.weight[:, 2] > 0.7).all()
 
 
 def test_nested_terms():
