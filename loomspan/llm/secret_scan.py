@@ -1,7 +1,8 @@
 """Secrets in texts: proposed by patterns, confirmed by a random forest, in built-in expressions only.
 
 One regular expression proposes candidates: the value assigned to a name that
-speaks of a secret, or a long run of token characters with a digit.  Each
+speaks of a secret, the password of a URL, a whole private key, or a long run
+of token characters with a digit.  Each
 candidate becomes a row of numbers (`FEATURES`): its length, its character
 transitions and their likeness to prose, how much of it a dictionary covers,
 path-like parts, the words next to it and the path it was found under.  A random
@@ -29,17 +30,20 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import carried, table
+from .common import carried, running_sums, table
 
 SAMPLE = 8_000
 TREES, DEPTH, LEAF = 15, 7, 4
 CUT = 0.5
-_NAMES = r"(?:[Kk][Ee][Yy]|[Tt][Oo][Kk][Ee][Nn]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Pp][Aa][Ss][Ss](?:[Ww][Oo][Rr])?[Dd]|[Pp][Ww][Dd]|[Cc]redentials?|[Aa]uthorization)"
+_NAMES = r"(?:[Kk][Ee][Yy]|[Tt][Oo][Kk][Ee][Nn]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Pp][Aa][Ss][Ss](?:[Ww][Oo][Rr][Dd]|[Ww][Dd]|[Dd]|[Pp][Hh][Rr][Aa][Ss][Ee])?|[Pp][Ww][Dd]|[Cc]redentials?|[Aa]uthorization)"
 _ASSIGN = _NAMES + r"[\"']?[ \t]{0,3}[:=]{1,2}[ \t]{0,3}(?:Bearer |Basic )?[\"']?"
 _RUN = r"[A-Za-z0-9+/_-]"
-CANDIDATE = rf"{_ASSIGN}[^\s\"'`,;<>()\[\]{{}}]{{8,}}+|(?<!{_RUN})(?=[A-Za-z+/_-]*+[0-9]){_RUN}{{20,}}+={{0,2}}+|-----BEGIN [A-Z ]*PRIVATE KEY-----"
+#: The login of a URL up to its password.
+_LOGIN = r"://[^\s\"'<>/:@]{0,64}:"
+_PEM = r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[\s\S]*?-----END [A-Z ]*PRIVATE KEY-----|(?:\s*+[A-Za-z0-9+/=]{16,}+)*+)"
+CANDIDATE = rf"{_PEM}|{_LOGIN}[^\s\"'<>/@]{{3,}}+(?=@)|{_ASSIGN}[^\s\"'`,;<>()\[\]{{}}]{{8,}}+|(?<!{_RUN})(?=[A-Za-z+/_-]*+[0-9]){_RUN}{{20,}}+={{0,2}}+"
 #: What a text must hold to be searched at all, the cheaper tests first.
-HOLDS = (("[:=]", _ASSIGN + r"[^\s]"), (rf"{_RUN}{{20}}",))
+HOLDS = (("[:=]", _ASSIGN + r"[^\s]"), (rf"{_RUN}{{20}}",), ("://", _LOGIN + "[^\\s]"), ("-----BEGIN ",))
 #: kind: prefix format, in order; the first that fits names the candidate.
 KINDS = {
     "private_key": r"^-----BEGIN [A-Z ]*PRIVATE KEY",
@@ -97,13 +101,14 @@ def features(left: Column, value: Column, right: Column, path: Column) -> dict[s
         "dummy": value.rlike(_DUMMY).cast("double"),
         "says_secret": left.rlike(_SAYS_SECRET).cast("double"),
         "says_other": left.rlike(_SAYS_OTHER).cast("double"),
+        "url_login": left.rlike(_LOGIN + "$").cast("double"),
         "quoted": (left.rlike("[\"']$") & right.rlike("^[\"']")).cast("double"),
         "prefix": F.greatest(*[value.rlike(p).cast("double") for p in KINDS.values()]),
         "test_path": F.coalesce(path.rlike(r"(?i)test|example|sample|fixture|/docs?/"), F.lit(False)).cast("double"),
     }
 
 
-FEATURES = ("length", "entropy", "digits", "capitals", "transitions", "prose", "dictionary", "hex", "digest_size", "uuid", "parts", "dummy", "says_secret", "says_other", "quoted", "prefix", "test_path")
+FEATURES = ("length", "entropy", "digits", "capitals", "transitions", "prose", "dictionary", "hex", "digest_size", "uuid", "parts", "dummy", "says_secret", "says_other", "url_login", "quoted", "prefix", "test_path")
 
 
 def grow(x: np.ndarray, y: np.ndarray, rng: np.random.Generator, depth: int = DEPTH):
@@ -165,7 +170,7 @@ def train(findings: DataFrame, sample: int = SAMPLE, trees: int = TREES, seed: i
     return Forest.fit(np.array([[r[f] for f in FEATURES] for r in rows]), y, trees, seed)
 
 
-def made_findings(spark: SparkSession, n: int = 6_000) -> DataFrame:
+def made_findings(spark: SparkSession, n: int = 7_500) -> DataFrame:
     """Labelled findings by rule: secrets of common formats and what is often taken for one."""
     h = lambda s: f"sha2(concat(id, '{s}'), 256)"
     b62 = lambda s, k: f"substr(translate(concat(base64(unhex({h(s)})), base64(unhex({h(s + 'x')}))), '+/=', 'aZ7'), 1, {k})"
@@ -188,7 +193,11 @@ def made_findings(spark: SparkSession, n: int = 6_000) -> DataFrame:
         (said, f"concat('your_', {word('a')}, '_here', pmod(id, 99))", 0), (said, f"concat('changeme', pmod(id, 999), {word('a')})", 0), (said, f"concat({word('a')}, '_', {word('b')}, '_', {word('c')})", 0),
         (said, f"concat('xxxxxxxxxxxx', pmod(id, 9999))", 0), (said, f"concat({word('a')}, '.', {word('b')}, '.', {word('c')})", 0), (soft, f"concat('26', substr(translate({h('w')}, 'abcdef', '012345'), 1, 20))", 0),
         (soft, f"concat(substr({prose}, 1, {size}), pmod(id, 99))", 0), (said, f"substr({prose}, 1, 12)", 0), ("'https://'", f"concat({word('a')}, '/', {word('b')}, '/', {word('c')}, '/', pmod(id, 9999))", 0),
-        (soft, "concat(repeat('-', 24), pmod(id, 9))", 0), (soft, f"concat('a', repeat('b', 24), pmod(id, 9))", 0),
+        (f"concat({soft}, 'postgres://', {word('u')}, ':')", b62("y", "12"), 1), (f"concat('mysql://', {word('u')}, ':')", f"concat({word('a')}, pmod(id, 997), '!', {b62('z', '4')})", 1), (f"concat({soft}, 'redis://:')", b62("A", size), 1),
+        ("concat('DB_PASS=')", f"concat({b62('B', '5')}, pmod(id, 97), {b62('C', '3')})", 1), (f"concat({soft}, 'passphrase: ')", f"concat({word('a')}, '-', {b62('D', '6')}, '-', pmod(id, 999))", 1), ("concat('MYSQL_PWD=\"')", b62("E", "14"), 1),
+        (f"concat({soft}, 'http://', {word('u')}, ':')", f"concat('80', pmod(id, 90))", 0), (f"concat('amqp://', {word('u')}, ':')", "'password'", 0), (f"concat({soft}, 'bypass: ')", f"concat({word('a')}, {word('b')})", 0), ("concat('compass = ')", f"concat({word('a')}, '_', {word('b')})", 0),
+        (soft, f"concat('-----BEGIN RSA PRIVATE KEY-----\n', {b62('F', '64')}, '\n', {b62('G', '64')}, '\n', {b62('H', '30')}, '==\n-----END RSA PRIVATE KEY-----')", 1), (soft, f"concat('-----BEGIN PRIVATE KEY-----\n', {b62('I', '64')})", 1),
+        (soft, "'-----BEGIN PRIVATE KEY-----'", 0), (soft, "concat(repeat('-', 24), pmod(id, 9))", 0), (soft, f"concat('a', repeat('b', 24), pmod(id, 9))", 0),
     ]
     pick = lambda k: F.expr("CASE cast(pmod(id, {}) as int) {} END".format(len(cases), " ".join(f"WHEN {i} THEN {c[k]}" for i, c in enumerate(cases))))
     quote = F.when(F.expr(f"{pick_left(cases)}").rlike("[\"']$"), F.regexp_extract(F.expr(pick_left(cases)), "([\"'])$", 1)).otherwise(" ")
@@ -207,7 +216,7 @@ def candidates(text: Column, path: Column) -> Column:
     zipped = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(found)).alias("gap"), found.alias("m"), gaps_next.alias("after"))
 
     def one(x: Column) -> Column:
-        head = F.regexp_extract(x["m"], "^" + _ASSIGN, 0)
+        head = F.regexp_extract(x["m"], f"^(?:{_LOGIN}|{_ASSIGN})", 0)
         value = F.substr(x["m"], F.length(head) + 1)
         return F.struct(x["gap"].alias("gap"), head.alias("head"), value.alias("value"), F.concat(F.right(x["gap"], F.lit(40)), head).alias("left"), F.left(x["after"], F.lit(24)).alias("right"))
 
@@ -222,7 +231,7 @@ def candidates(text: Column, path: Column) -> Column:
         for more in tests[1:]:
             every = every & text.rlike(more)
         holds = holds | every
-    return F.when(holds | text.contains("-----BEGIN "), F.transform(F.transform(zipped, one), known)).otherwise(none)
+    return F.when(holds, F.transform(F.transform(zipped, one), known)).otherwise(none)
 
 
 def kind_of(value: Column) -> Column:
@@ -238,25 +247,20 @@ def scan(docs: DataFrame, forest: Forest, text: str = "text", path: str | None =
     whole = F.coalesce(F.col("_row")[text], F.lit(""))
     where = F.col("_row")[path].cast("string") if path else F.lit(None).cast("string")
     rows = rows.select("_row", candidates(whole, where).alias("found"))
-    rows = rows.select("_row", F.transform("found", lambda c: F.struct(c["gap"], c["head"], c["value"], F.round(forest.column(c["numbers"]), 6).alias("score"))).alias("found"))
-    none = F.expr("CAST(array() AS array<struct<kind:string,start:int,end:int,score:double>>)")
 
-    def step(acc: Column, c: Column) -> Column:
-        start = acc["at"] + F.length(c["gap"]) + F.length(c["head"])
-        end = start + F.length(c["value"])
-        span = F.struct(kind_of(c["value"]).alias("kind"), start.alias("start"), end.alias("end"), c["score"])
-        return F.struct(end.alias("at"), F.when(c["score"] >= cut, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
-
-    spans = F.aggregate("found", F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda a: a["out"])
-    rows = rows.select("_row", F.size("found").cast("long").alias("n_candidates"), spans.alias("secrets"))
-    # Kept text before each span, its mark, and the rest after the last span.
-    edge = F.transform("secrets", lambda s, i: F.concat(_between(whole, F.when(i == 0, 0).otherwise(F.try_element_at("secrets", i)["end"]), s["start"]), F.lit("[SECRET:"), F.upper(s["kind"]), F.lit("]")))
-    rest = F.substr(whole, F.element_at("secrets", -1)["end"] + 1)
-    return rows.withColumn("redacted", F.when(F.size("secrets") == 0, whole).otherwise(F.concat(F.array_join(edge, ""), rest)))
-
-
-def _between(text: Column, start: Column, end: Column) -> Column:
-    return F.substr(text, start + 1, end - start)
+    def one(c: Column, end: Column) -> Column:
+        kind, points = kind_of(c["value"]), F.round(forest.column(c["numbers"]), 6)
+        return F.struct(kind.alias("kind"), (end - F.length(c["value"])).alias("start"), end.alias("end"), points.alias("score"), F.concat(c["gap"], c["head"]).alias("before"), c["value"].alias("value"))
+
+    sizes = F.transform("found", lambda c: F.length(c["gap"]) + F.length(c["head"]) + F.length(c["value"]))
+    rows = rows.select("_row", "found", running_sums(sizes).alias("ends"))
+    rows = rows.select("_row", F.transform("found", lambda c, i: one(c, F.col("ends")[i])).alias("seen"), F.try_element_at("ends", F.lit(-1)).alias("last"))
+    secrets = F.transform(F.filter("seen", lambda s: s["score"] >= cut), lambda s: F.struct(s["kind"], s["start"], s["end"], s["score"]))
+    rows = rows.select("_row", F.size("seen").cast("long").alias("n_candidates"), secrets.alias("secrets"), "seen", "last")
+    # What stands before each candidate, it or its mark, and the rest after the last one.
+    put = F.transform("seen", lambda s: F.concat(s["before"], F.when(s["score"] >= cut, F.concat(F.lit("[SECRET:"), F.upper(s["kind"]), F.lit("]"))).otherwise(s["value"])))
+    redacted = F.when(F.size("secrets") == 0, whole).otherwise(F.concat(F.array_join(put, ""), F.substr(whole, F.col("last") + 1)))
+    return rows.select("_row", "n_candidates", "secrets", redacted.alias("redacted"))
 
 
 @lru_cache(1)
