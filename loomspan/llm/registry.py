@@ -16,9 +16,16 @@ QUERIES = {
     "op9_secret_scan": secret_scan.op9_secret_scan,
     "op10_decontaminate": decontaminate.op10_decontaminate,
 }
+#: Where SQL cannot express a query, the test that holds it against plain Python, a round trip or held-out accuracy.
+TESTS = {
+    "op1_byte_bpe": "tests/llm/test_queries.py::test_op1", "op2_toxicity": "tests/llm/test_queries.py::test_op2", "op6_token_file": "tests/llm/test_queries.py::test_op6",
+    "op9_secret_scan": "tests/llm/test_queries.py::test_op9", "pipeline": "tests/llm/test_pipeline.py",
+}
 ORACLE_SQL = {
+    "op3_pii": pii.ORACLE_SQL,
     "op4_chat_format": chat.ORACLE_SQL,
     "op5_quality_rules": quality.ORACLE_SQL,
+    "op7_suffix_array_dedup": repeats.ORACLE_SQL,
     "op8_minhash_near_dedup": neardup.ORACLE_SQL,
     "op10_decontaminate": decontaminate.ORACLE_SQL,
 }
