@@ -18,7 +18,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomspan.functions.rank import numbered
 from loomspan.llm import bpe, decontaminate, neardup, secret_scan, toxicity
 from loomspan.llm.common import stored, table
 
@@ -34,20 +33,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents that share 0.8 of their shingles of five words, the one of the smallest doc_id."""
-    named = docs.where("doc_id is not null").select(F.col("doc_id").alias("node"), "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    if named.groupBy("node").count().where("count > 1").limit(1).count():
-        # Texts that share a doc_id are documents of their own: each is named by its place by doc_id and text.
-        keyed = named.withColumn("key", F.sha2(F.coalesce("text", F.lit("")), 256))
-        places = numbered(keyed.select("node", "key").distinct(), ["node", "key"])
-        named = stored(keyed.join(places, ["node", "key"]).select(F.col("place").alias("node"), "text", "_row"), "named")
+    rows = docs.where("doc_id is not null").select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    named, names = neardup.named(rows)
+    if names is not None:
+        named = stored(named, "named")
     groups = neardup.near_duplicates(named.select(F.col("node").alias("doc_id"), "text"), width=5, similar=(80, 100))
     kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("node")).distinct()
     return _rows(named.join(kept, "node", "left_semi").dropDuplicates(["node"])).unionByName(docs.where("doc_id is null"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a whole window of a benchmark item go, however long they are, and those that an item's few words make up to a twentieth."""
     found = decontaminate.search(docs, table(spark, sf_dir, "benchmark"))
-    return _rows(found.where(~decontaminate.contaminated()))
+    return _rows(found.where(~(decontaminate.contaminated() | (F.size("hits") >= decontaminate.WINDOW))))
 
 
 def mark_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
