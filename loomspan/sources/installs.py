@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import platform
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,9 +31,9 @@ def _only(files: DataFrame, *patterns: str) -> DataFrame:
     return files.where(keep)
 
 
-def _opencode_cli(spark: SparkSession, roots: list[str]) -> DataFrame:
+def _opencode_cli(files: DataFrame) -> DataFrame:
     """Sessions, messages and parts are files of their own: messages take their parts and their session by left joins on the ids in paths."""
-    files = whole_files(spark, roots, "*.json").withColumn("text", F.col("content").cast("string"))
+    files = files.withColumn("text", F.col("content").cast("string"))
     name = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.json$", "")
     parent = F.element_at(F.split("path", "/"), -2)
     install = F.regexp_extract("path", r"^(.*?)/storage/", 1)
@@ -61,25 +62,26 @@ def _opencode_cli(spark: SparkSession, roots: list[str]) -> DataFrame:
 
 def scan(spark: SparkSession, source: str, roots: list[str]) -> DataFrame:
     """src_file, line_no, raw of the conversations of a source's installations."""
-    files = lambda glob, *paths: _only(whole_files(spark, roots, glob), *paths)
+    return scan_files(source, lambda glob: whole_files(spark, roots, glob))
+
+
+def scan_files(source: str, named: Callable[[str], DataFrame]) -> DataFrame:
+    """As scan, of files (path, content); named gives those whose names fit a glob."""
+    files = lambda glob, *paths: _only(named(glob), *paths)
     if source == "claude_code":
-        logs = whole_files(spark, roots, "*.jsonl").where(~F.element_at(F.split("path", "/"), -1).startswith("agent-"))
-        return parsed(logs, sessions.claude_code)
+        return parsed(named("*.jsonl").where(~F.element_at(F.split("path", "/"), -1).startswith("agent-")), sessions.claude_code)
     if source == "codex":
         return parsed(files("*.jsonl", "%/sessions/%/rollout-%.jsonl", "%/sessions/rollout-%.jsonl", "%/projects/%.jsonl"), sessions.codex)
     if source == "continue":
         return parsed(files("*.json", "%/sessions/%.json").where(~F.col("path").like("%/sessions/sessions.json")), sessions.continue_)
     if source == "gemini":
         return parsed(files("session-*.json", "%/tmp/%/chats/session-%.json"), sessions.gemini)
-    if source == "cursor":
-        return parsed(files("state.vscdb", "%/User/workspaceStorage/%/state.vscdb", "%/User/globalStorage/state.vscdb"), databases.cursor)
-    if source == "windsurf":
-        return parsed(files("state.vscdb", "%/User/workspaceStorage/%/state.vscdb", "%/User/globalStorage/state.vscdb"), databases.windsurf)
+    if source in ("cursor", "windsurf"):
+        return parsed(files("state.vscdb", "%/User/workspaceStorage/%/state.vscdb", "%/User/globalStorage/state.vscdb"), getattr(databases, source))
     if source == "trae":
-        stores = whole_files(spark, roots, "*.{db,vscdb}")
-        return parsed(files("*.jsonl", "%/projects/%.jsonl", "%/sessions/%.jsonl"), sessions.trae_jsonl).unionByName(parsed(stores, databases.trae))
+        return parsed(files("*.jsonl", "%/projects/%.jsonl", "%/sessions/%.jsonl"), sessions.trae_jsonl).unionByName(parsed(named("*.{db,vscdb}"), databases.trae))
     if source == "opencode":
-        return _opencode_cli(spark, roots).unionByName(parsed(whole_files(spark, roots, "*.dat"), sessions.opencode_store))
+        return _opencode_cli(named("*.json")).unionByName(parsed(named("*.dat"), sessions.opencode_store))
     raise ValueError(f"unknown source: {source}")
 
 

@@ -22,13 +22,13 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return each.where(F.trim("raw") != "").select("src_file", (F.col("at") + 1).cast("long").alias("line_no"), "raw")
 
 
-def read_large_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_large_lines(spark: SparkSession, path: str, glob: str = "*.jsonl") -> DataFrame:
     """As read_lines, for files of any size: files are split over tasks.
 
     line_no grows with a line's place in its file but counts no lines: tasks are
     dealt the blocks of a file in order, and ids grow within a task.
     """
-    rows = spark.read.option("pathGlobFilter", "*.jsonl").option("recursiveFileLookup", "true").text(path)
+    rows = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(path, lineSep="\n")
     within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     # A block of a file has more bytes than lines, so that its first byte's place leaves room for all its lines.
     spot = F.col("_metadata.file_block_start") + within
