@@ -122,15 +122,44 @@ def field_mark(key: str, value):
     return FIELD_MARK
 
 
+#: What a text must hold, in any case, for a rule to match at all: one of these strings ("\\d": a digit).  Rules that are not here are always tried.
+HOLDS = {
+    "private_key": ("private key-----",), "pi_encoded_path_component": ("--",), "authorization_bearer": ("bearer",), "bearer_token": ("bearer",), "env_secret_assignment": ("key", "token", "secret", "passw"),
+    "env_secret_default": ("${",), "env_secret_colon_default": ("${",), "openai_key": ("sk-",), "short_sk_key": ("sk-",), "anthropic_key": ("sk-ant-",), "github_token": ("ghp_", "gho_", "ghu_", "ghs_", "ghr_", "github_pat_"),
+    "huggingface_token": ("hf_",), "google_api_key": ("aiza",), "aws_access_key": ("akia", "asia"), "jwt": ("eyj",), "password_hash": ("$",), "ssh_public_key": ("ssh-",), "iban": ("\\d",),
+    "quicktime_location_iso6709": ("quicktime",), "quicktime_location_accuracy": ("quicktime",), "iso6709_coordinates": ("\\d",), "latlon_coordinates": ("\\d",), "street_address": ("\\d",), "ipv6": (":",),
+    "mac_address": (":", "-"), "bluetooth_path": ("/org/bluez/", "dev_"), "airpods_pro": ("airpods",), "scarlett_solo": ("scarlett",), "focusrite_device": ("focusrite",), "url_basic_auth": ("://",), "database_url": ("://",),
+    "opencode_share_url": ("opncd",), "private_url": ("://",), "url": ("://",), "api_key_json_field": ("key", "token", "secret"), "api_key_assignment": ("key", "token", "secret"), "contextual_phone": ("\\d",), "email": ("@",),
+    "user_at_host": ("@",), "user_at_literal": ("@",), "ipv4": ("\\d",), "encoded_home_path": ("--",), "encoded_home_path_literal": ("--",), "redacted_literal": ("redacted",), "generic_home_path": ("home/",),
+    "mac_home_path": ("/users/",), "ssh_remote": (".git",),
+}
+
+
+def _folded(s: str) -> str:
+    """Lower case in which all characters that a pattern takes for one, whatever their case, are one."""
+    return s.lower() if s.isascii() else s.casefold().replace("i\u0307", "i").replace("\u0131", "i")
+
+
 class Walker:
     """Redacts one record after the other; tells counts and stable values of each."""
 
     def __init__(self, who: Identity):
         self.who = who
         self.rules = [(n, re.compile(p), m) for n, p, m in rules(who)]
+        self.digit = re.compile(r"\d")
+
+    def _may_match(self, name: str, s: str, low: str) -> bool:
+        return name not in HOLDS or any(self.digit.search(s) is not None if x == r"\d" else x in low for x in HOLDS[name])
+
+    def that_may_match(self, s: str) -> list[tuple[str, re.Pattern]]:
+        low = _folded(s)
+        return [(n, p) for n, p, _ in self.rules if self._may_match(n, s, low)]
 
     def text(self, s: str) -> str:
+        low = _folded(s)
         for name, pattern, mark in self.rules:
+            if not self._may_match(name, s, low):
+                continue
 
             def put(m: re.Match, name=name, mark=mark) -> str:
                 if name == "url" and allowed_host(m[0], self.who.hosts):
@@ -142,7 +171,9 @@ class Walker:
                 self.seen.setdefault(token, (name, m[0], len(self.seen)))
                 return token
 
-            s = pattern.sub(put, s)
+            done = pattern.sub(put, s)
+            if done is not s and done != s:
+                s, low = done, _folded(done)
         return s
 
     def value(self, x):
@@ -179,6 +210,10 @@ def first_pass(lines: DataFrame, who: Identity) -> DataFrame:
             holder.append(Walker(who))
         return [{"src_file": r["src_file"], "line_no": r["line_no"], **holder[0].record(r["raw"])}]
 
+    # Lines that come in fewer parts than there are cores, as of one file, are dealt anew.
+    cores = lines.sparkSession.sparkContext.defaultParallelism
+    if lines.rdd.getNumPartitions() < cores:
+        lines = lines.repartition(cores, "src_file", "line_no")
     kinds = "src_file string, line_no long, raw string, counts map<string,long>, seen array<struct<category:string,value:string,token:string,at:long>>"
     return map_rows(lines.select("src_file", "line_no", "raw"), one, kinds)
 
@@ -245,11 +280,22 @@ def redact_text(text: Column, names: list[str] | None = None, who: Identity = Id
             java = java_pattern(pattern)
             if mark is not None:
                 text = F.regexp_replace(text, java, re.sub(r"\\(\d)", r"$\1", mark.replace("$", r"\$")))
-            elif not (name == "url" and who.hosts):
-                text = replace_matches(text, java, lambda m, name=name: F.concat(F.lit(f"[{name.upper()}:0000:"), F.substring(F.sha2(F.encode(m, "UTF-8"), 256), 1, 10), F.lit("]")))
+            else:
+                token = lambda m, name=name: F.concat(F.lit(f"[{name.upper()}:0000:"), F.substring(F.sha2(F.encode(m, "UTF-8"), 256), 1, 10), F.lit("]"))
+                kept = (lambda m, token=token: F.when(host_allowed(m, who.hosts), m).otherwise(token(m))) if name == "url" and who.hosts else token
+                text = replace_matches(text, java, kept)
     return text
 
 
+def host_allowed(url: Column, hosts) -> Column:
+    """As allowed_host, of a column of URLs."""
+    host = F.regexp_replace(F.lower(F.regexp_extract(url, r"(?i)^https?://([^/:?#]+)", 1)), r"\.+$", "")
+    hit = F.lit(False)
+    for h in hosts:
+        hit = hit | (host == h) | host.endswith("." + h)
+    return (host != "") & hit
+
+
 def stable_text(df: DataFrame, key: str, text: str, name: str, who: Identity = Identity("__nobody__", "__nowhere__")) -> DataFrame:
     """key, text with one stable rule's placeholders, numbered by (key, place), for a table of plain texts; keys are unique."""
     java = java_pattern(next(p for n, p, _ in rules(who) if n == name))
