@@ -30,7 +30,8 @@ def _parser() -> argparse.ArgumentParser:
     opt = lambda name, **kw: (f"--{name}", kw)
     flag = lambda name: (f"--{name}", {"action": "store_true"})
     place = [opt("sources", help=f"comma-separated, of {', '.join(SOURCE_KEYS)}"), opt("root", default="~"), opt("out", default="output")]
-    redaction = [opt("user"), opt("home"), flag("allow-public-urls"), opt("allowed-domains"), opt("private-terms"), opt("private-domains")]
+    redaction = [opt("user"), opt("home"), flag("allow-public-urls"), opt("allowed-domains"), opt("private-terms"), opt("private-domains"),
+                 flag("privacy-filter"), opt("privacy-filter-device", default="auto"), flag("gitleaks"), flag("gitleaks-fix"), opt("llm-residue", help="address of a language model with the usual chat interface")]
     filters = [opt("variant", default="both", choices=["messages", "sharegpt", "both"]), *(opt(n, type=int) for n in ("min-turns", "max-turns", "min-assistant-chars")),
                *(opt(n) for n in ("include-sources", "drop-sources", "projects", "models", "statuses", "since", "until", "metadata-key")), flag("require-tools"), flag("require-diffs"), flag("dedup")]
     io = [opt("in", dest="input", required=True), opt("out", required=True)]
@@ -44,12 +45,16 @@ def _parser() -> argparse.ArgumentParser:
     command("split", *io, opt("variant", default="messages", choices=["messages", "sharegpt"]), opt("eval-fraction", type=float, default=0.2), opt("seed", type=int, default=17))
     command("verify-split", opt("in", dest="input", required=True))
     command("publish", opt("in", dest="input", required=True), opt("repo", required=True))
-    command("run", *place, opt("user"), opt("home"), opt("variant", default="both", choices=["messages", "sharegpt", "both"]))
+    command("run", *place, *redaction, *filters)
     return p
 
 
 def _redaction(a) -> RedactorConfig:
-    return RedactorConfig(a.user, a.home, getattr(a, "allow_public_urls", False), _names(getattr(a, "allowed_domains", None)), _names(getattr(a, "private_terms", None)), _names(getattr(a, "private_domains", None)))
+    return RedactorConfig(a.user, a.home, a.allow_public_urls, _names(a.allowed_domains), _names(a.private_terms), _names(a.private_domains), a.privacy_filter, a.privacy_filter_device, 64, a.gitleaks, a.gitleaks_fix, a.llm_residue)
+
+
+def _export(a) -> ExportConfig:
+    return ExportConfig(a.variant, a.min_turns, a.max_turns, a.min_assistant_chars, _names(a.include_sources), _names(a.drop_sources), _names(a.projects), _names(a.models), _names(a.statuses), a.since, a.until, a.require_tools, a.require_diffs, a.dedup, a.metadata_key)
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -76,8 +81,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         elif a.command == "redact":
             say(stages.run_redact(spark, keyed(a.input), a.out, _redaction(a), os.path.expanduser("~"))[1])
         elif a.command == "export":
-            config = ExportConfig(a.variant, a.min_turns, a.max_turns, a.min_assistant_chars, _names(a.include_sources), _names(a.drop_sources), _names(a.projects), _names(a.models), _names(a.statuses), a.since, a.until, a.require_tools, a.require_diffs, a.dedup, a.metadata_key)
-            say(stages.run_export(spark, keyed(a.input), a.out, config))
+            say(stages.run_export(spark, keyed(a.input), a.out, _export(a)))
         elif a.command == "verify":
             found = verify.scan_records(read_lines(spark, a.input)).orderBy("src_file", "line_no", "category")
             n = found.count()
@@ -94,7 +98,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         elif a.command == "publish":
             print(reports.publish(spark, a.input, a.repo))
         else:
-            say(stages.run(spark, os.path.expanduser(a.root), a.out, _redaction(a), ExportConfig(variant=a.variant), list(_names(a.sources)) or None))
+            say(stages.run(spark, os.path.expanduser(a.root), a.out, _redaction(a), _export(a), list(_names(a.sources)) or None))
     except (ValueError, FileNotFoundError, FileExistsError, RuntimeError) as e:
         print(f"error: {e}", file=sys.stderr)
         return 2

@@ -10,7 +10,7 @@ import json
 import re
 import shutil
 import subprocess
-import tempfile
+import urllib.request
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.records import map_rows
-from .verify import strings
+from ..scratch import stored
+from .verify import string_values
 
 MOST_CHARS, LEAST_SCORE, BATCH = 12_000, 0.65, 64
 #: A text is worth a model's time if it holds one of these.
@@ -54,40 +55,47 @@ def _replace_strings(value, known: dict[str, str]):
 
 
 def privacy_filter(lines: DataFrame, score: Callable[[list[str]], list[list[dict]]], cues: str = CUES, most: int = MOST_CHARS, batch: int = BATCH) -> DataFrame:
-    """Lines whose string values are marked by a model; each distinct value of a batch of records is scored once, values only."""
+    """Lines whose string values (not keys) are marked by a model; each distinct value of the run is scored once.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Values beyond `most` code points, or without a cue, are left as they are:
+    these bounds are part of the layer's definition.
+    """
+    worth = string_values(lines).where((F.length("text") <= most) & F.col("text").rlike(cues)).select("src_file", "line_no", "text")
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for k in range(0, b.num_rows, 256):
-                part = b.slice(k, 256)
-                records = [json.loads(r) for r in part.column(2).to_pylist()]
-                texts = sorted({t for r in records for _, t in strings(r) if t and len(t) <= most and re.search(cues, t)})
-                known = {}
-                for i in range(0, len(texts), batch):
-                    for t, found in zip(texts[i : i + batch], score(texts[i : i + batch])):
-                        known[t] = mark_entities(t, found)[0]
-                out = [json.dumps(_replace_strings(r, known), ensure_ascii=False) for r in records]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(out, pa.string())], ["src_file", "line_no", "raw"])
+            for k in range(0, b.num_rows, batch):
+                texts = b.column(0).slice(k, batch).to_pylist()
+                done = [mark_entities(t, found)[0] for t, found in zip(texts, score(texts))]
+                yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(done, pa.string())], ["text", "marked"])
+
+    marks = stored(worth.select("text").distinct().mapInArrow(marked, "text string, marked string").where("text <> marked"), "marked")
+    per = worth.distinct().join(marks, "text").groupBy("src_file", "line_no").agg(F.collect_list(F.struct("text", "marked")).alias("found"))
+
+    def one(r: dict) -> list[dict]:
+        known = {x["text"]: x["marked"] for x in r["found"] or []}
+        raw = json.dumps(_replace_strings(json.loads(r["raw"]), known), ensure_ascii=False) if known else r["raw"]
+        return [{"src_file": r["src_file"], "line_no": r["line_no"], "raw": raw}]
+
+    return map_rows(lines.join(per, ["src_file", "line_no"], "left").select("src_file", "line_no", "raw", "found"), one, "src_file string, line_no long, raw string")
 
-    return lines.select("src_file", "line_no", "raw").mapInArrow(run, "src_file string, line_no long, raw string")
+
+def available(binary: str = "gitleaks") -> bool:
+    return shutil.which(binary) is not None
 
 
 def outside_scan(lines: DataFrame, binary: str = "gitleaks") -> DataFrame:
-    """src_file, line_no, rule and secret that an outside scanner reports; each task hands its lines to one run of it."""
-    if shutil.which(binary) is None:
+    """src_file, line_no, rule and secret that an outside scanner reports; each task pipes its lines through it."""
+    if not available(binary):
         raise RuntimeError(f"{binary} is not installed")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            with tempfile.TemporaryDirectory() as folder:
-                with open(f"{folder}/lines.jsonl", "w", encoding="utf-8") as f:
-                    f.writelines(r + "\n" for r in b.column(2).to_pylist())
-                subprocess.run([binary, "detect", "--no-git", "--source", folder, "--report-format", "json", "--report-path", f"{folder}/out.json", "--exit-code", "0"], check=True, capture_output=True)
-                with open(f"{folder}/out.json", encoding="utf-8") as f:
-                    found = json.load(f) or []
-            at = [x["StartLine"] - 1 for x in found]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(at, pa.int64())), b.column(1).take(pa.array(at, pa.int64())), pa.array([x["RuleID"] for x in found], pa.string()), pa.array([x["Secret"] for x in found], pa.string())], ["src_file", "line_no", "rule", "secret"])
+            text = "".join(r.replace("\n", " ") + "\n" for r in b.column(2).to_pylist())
+            told = subprocess.run([binary, "stdin", "--no-banner", "--report-format", "json", "--report-path", "-", "--exit-code", "0"], input=text.encode(), check=True, capture_output=True).stdout
+            found = json.loads(told or b"[]") or []
+            at = pa.array([x["StartLine"] - 1 for x in found], pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array([x["RuleID"] for x in found], pa.string()), pa.array([x["Secret"] for x in found], pa.string())], ["src_file", "line_no", "rule", "secret"])
 
     return lines.select("src_file", "line_no", "raw").mapInArrow(run, "src_file string, line_no long, rule string, secret string")
 
@@ -99,15 +107,52 @@ def scrub(lines: DataFrame, findings: DataFrame) -> DataFrame:
     def one(r: dict) -> list[dict]:
         raw = r["raw"]
         for f in sorted(r["found"] or [], key=lambda f: (-len(f["secret"]), f["secret"])):
-            mark = "[SECRET:SCAN_" + re.sub(r"[^A-Z0-9]+", "_", f["rule"].upper()) + "]"
-            raw = raw.replace(json.dumps(f["secret"], ensure_ascii=False)[1:-1], mark)
-            if f["secret"] in raw:
-                raw = json.dumps({"messages": [], "redacted": mark}, ensure_ascii=False)
+            mark = "[SECRET:GITLEAKS_" + "".join(c if c.isalnum() else "_" for c in f["rule"].upper()) + "]"
+            done = raw.replace(json.dumps(f["secret"], ensure_ascii=False)[1:-1], mark) if f["secret"] else raw
+            if done == raw and mark not in raw or f["secret"] and f["secret"] in done:
+                try:
+                    kind = json.loads(raw).get("type", "redacted_record")
+                except (ValueError, AttributeError):
+                    kind = "redacted_record"
+                raw = json.dumps({"type": kind, "redacted": True, "redaction_reason": "gitleaks_" + f["rule"]}, separators=(",", ":"))
+                break
+            raw = done
         return [{"src_file": r["src_file"], "line_no": r["line_no"], "raw": raw}]
 
     return map_rows(lines.join(per, ["src_file", "line_no"], "left").select("src_file", "line_no", "raw", "found"), one, "src_file string, line_no long, raw string")
 
 
+def scrub_rounds(lines: DataFrame, scan: Callable[[DataFrame], DataFrame], most: int = 3) -> tuple[DataFrame, dict]:
+    """Lines after scanning and scrubbing by turns until a scan finds nothing, `most` times at most; what each round found."""
+    rounds = []
+    for k in range(1, most + 1):
+        findings = stored(scan(lines), "findings")
+        by_rule = {r["rule"]: r["count"] for r in findings.groupBy("rule").count().collect()}
+        rounds.append({"round": k, "findings": sum(by_rule.values()), "by_rule": by_rule})
+        if not by_rule:
+            return lines, {"available": True, "rounds": rounds, "status": "clean"}
+        lines = stored(scrub(lines, findings), "scrubbed")
+    return lines, {"available": True, "rounds": rounds, "status": "max_rounds_reached"}
+
+
+#: Lines that a language model is asked about: they hold a word before a name, number or address.
+RESIDUE_CUES = r"(?i)\b(?:my name is|i am|i'm|live[sd]? (?:in|at)|call(?:ed)?|contact|born|address|phone|mail|passport|account)\b"
+_ASK = "List personal or secret text in the following line as a JSON array of objects with the keys text (an exact quotation) and category. Answer with the array alone.\n\n"
+
+
+def service(url: str) -> Callable[[str], list[dict]]:
+    """What a language model behind an address with the usual chat interface names in a line."""
+
+    def ask(line: str) -> list[dict]:
+        body = json.dumps({"messages": [{"role": "user", "content": _ASK + line}], "temperature": 0}).encode()
+        with urllib.request.urlopen(urllib.request.Request(url.rstrip("/") + "/v1/chat/completions", body, {"Content-Type": "application/json"}), timeout=120) as reply:
+            said = json.load(reply)["choices"][0]["message"]["content"]
+        named = json.loads(said[said.find("[") : said.rfind("]") + 1] or "[]")
+        return [x for x in named if isinstance(x, dict)]
+
+    return ask
+
+
 def residue(lines: DataFrame, candidates: str, ask: Callable[[str], list[dict]]) -> DataFrame:
     """Lines in which what a language model names (text, category) is marked, file by file, longest first.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import secrets
+from collections.abc import Callable
 from dataclasses import asdict
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +12,11 @@ from pyspark.sql import functions as F
 from ..config import ExportConfig, RedactorConfig
 from ..functions.records import traces
 from ..operators.export import judged, messages_json, sharegpt_json, summary
+from ..operators import layers
+from ..operators.identity import private_terms
 from ..operators.redact import redact
 from ..scratch import stored
-from ..sinks.files import write_lines, write_report
+from ..sinks.files import touch, write_lines, write_report
 from ..sinks.reports import EXPORTS, manifest
 from ..sources.installs import chosen, extract
 from ..sources.lines import checked
@@ -29,13 +32,46 @@ def run_extract(spark: SparkSession, root: str, out: str, sources: list[str] | N
     rows = stored(extract(spark, root, names, system), "extracted")
     _save_by_source(rows, f"{out}/raw_extracted")
     seen = {r["source_key"]: r["count"] for r in rows.groupBy("source_key").count().collect()}
+    for n in names:
+        if n not in seen:
+            touch(spark, f"{out}/raw_extracted/source_key={n}/part-00000.txt")
     return rows, {n: seen.get(n, 0) for n in names}
 
 
-def run_redact(spark: SparkSession, rows: DataFrame, out: str, config: RedactorConfig, home: str = "~") -> tuple[DataFrame, dict]:
-    """Redacted rows and the report; order and counts go by source key, then file and line."""
+def _layered(lines: DataFrame, config: RedactorConfig, score: Callable | None, ask: Callable | None) -> tuple[DataFrame, dict]:
+    """Lines after the layers that are set, in this order, and what each did; a layer that is set and cannot run is an error or is reported as skipped."""
+    told: dict[str, dict] = {}
+    missing = {"available": False, "status": "skipped", "reason": "gitleaks binary not found"}
+    if config.privacy_filter:
+        if score is None:
+            raise RuntimeError("privacy_filter is set, but no model was given that scores texts")
+        lines = stored(layers.privacy_filter(lines, score, batch=config.privacy_filter_batch_size), "filtered")
+        told["privacy_filter"] = {"marks": lines.where(F.col("raw").contains("[PII_MODEL:")).count()}
+    if config.gitleaks_fix:
+        told["gitleaks_fix"] = missing
+        if layers.available():
+            lines, told["gitleaks_fix"] = layers.scrub_rounds(lines, layers.outside_scan)
+    if config.llm_residue_url:
+        lines = stored(layers.residue(lines, layers.RESIDUE_CUES, ask or layers.service(config.llm_residue_url)), "residue")
+        told["llm_residue"] = {"lines": lines.where(F.col("raw").contains("[LLM_PII:")).count()}
+    if config.gitleaks:
+        told["gitleaks"] = missing
+        if layers.available():
+            n = layers.outside_scan(lines).count()
+            told["gitleaks"] = {"available": True, "status": "findings_or_error" if n else "clean", "findings": n}
+    return lines, told
+
+
+def run_redact(spark: SparkSession, rows: DataFrame, out: str, config: RedactorConfig, home: str = "~", found: tuple[str, ...] | None = None, score: Callable | None = None, ask: Callable | None = None) -> tuple[DataFrame, dict]:
+    """Redacted rows and the report; order and counts go by source key, then file and line.
+
+    found: private terms beside those of the settings (None: those of this
+    machine); score and ask: the models of two optional layers.
+    """
+    found = private_terms(config.home_dir or home, config.user_name) if found is None else found
     keyed = rows.select(F.concat_ws("\0", "source_key", "src_file").alias("src_file"), "line_no", "raw")
-    clean, counts = redact(keyed, config, home)
+    clean, counts = redact(keyed, config, home, found)
+    clean, told = _layered(clean, config, score, ask)
     key = F.split("src_file", "\0")
     clean = stored(clean.select(F.element_at(key, 1).alias("source_key"), F.element_at(key, 2).alias("src_file"), "line_no", "raw"), "clean")
     _save_by_source(clean, f"{out}/redacted")
@@ -47,7 +83,7 @@ def run_redact(spark: SparkSession, rows: DataFrame, out: str, config: RedactorC
         for k, n in c.items():
             total[k] = total.get(k, 0) + n
     shown = {k: v for k, v in asdict(config).items() if k in ("allow_public_urls", "allowed_domains", "private_domains", "privacy_filter", "gitleaks", "gitleaks_fix")} | {"llm_residue": bool(config.llm_residue_url)}
-    report = {"counts": total, "per_source": per, "layers": {}, "config": shown}
+    report = {"counts": total, "per_source": per, "layers": told, "config": shown}
     write_report(spark, f"{out}/REDACTION_REPORT.json", report)
     return clean, report
 

@@ -114,7 +114,7 @@ def test_optional_layers(spark):
     score = lambda texts: [[{"start": 11, "end": 16, "score": 1.0, "entity_group": "person"}] for _ in texts]
     assert [json.loads(r["raw"])["a"] for r in privacy_filter(rows, score).collect()] == ["my name is [PII_MODEL:PERSON]"] * 2
     hits = spark.createDataFrame([("a.jsonl", 1, "aws-key", "Alice")], "src_file string, line_no long, rule string, secret string")
-    assert {r["line_no"]: json.loads(r["raw"])["a"] for r in scrub(rows, hits).collect()} == {1: "my name is [SECRET:SCAN_AWS_KEY]", 2: "my name is Alice"}
+    assert {r["line_no"]: json.loads(r["raw"])["a"] for r in scrub(rows, hits).collect()} == {1: "my name is [SECRET:GITLEAKS_AWS_KEY]", 2: "my name is Alice"}
     got = residue(rows, "plain", lambda text: [{"text": "Alice", "category": "name"}, {"text": "[x]"}, {"text": "absent"}])
     assert [json.loads(r["raw"])["a"] for r in got.collect()] == ["my name is [LLM_PII:NAME]"] * 2
     try:
