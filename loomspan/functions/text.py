@@ -48,7 +48,8 @@ def glob_regex(pattern: str) -> str:
 
 def matches_any(value: Column, patterns) -> Column:
     """Whether a string matches one of the shell patterns, in any case; null: no."""
-    low = F.lower(value)
+    # Lower case, with the letters that differ from it only when case is folded.
+    low = F.translate(F.replace(F.lower(value), F.lit("ß"), F.lit("ss")), "ςſ", "σs")
     hit = F.lit(False)
     for p in patterns:
         hit = hit | low.rlike(glob_regex(p))

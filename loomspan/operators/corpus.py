@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import random
+from bisect import bisect_right
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -100,12 +102,17 @@ def report(lines: DataFrame) -> dict:
 def sample(lines: DataFrame, n: int, seed: int = 0) -> DataFrame:
     """The lines that a seeded draw of n without replacement picks, in its order (draw), by place in file order.
 
-    The driver holds the n drawn places, no lines.
+    The driver holds the number of lines of each file and the n drawn places, no
+    lines; only the files that hold a drawn place are numbered.
     """
-    size = lines.count()
-    drawn = random.Random(seed).sample(range(size), min(n, size))
-    places = lines.sparkSession.createDataFrame([(p + 1, i) for i, p in enumerate(drawn)], "place long, draw long")
-    return numbered(lines, ["src_file", "line_no"]).join(places, "place").drop("place")
+    files = lines.groupBy("src_file").count().orderBy("src_file").collect()
+    upto = list(accumulate(r["count"] for r in files))
+    drawn = random.Random(seed).sample(range(upto[-1] if upto else 0), min(n, upto[-1] if upto else 0))
+    of = [bisect_right(upto, p) for p in drawn]
+    places = lines.sparkSession.createDataFrame([(files[f]["src_file"], p - upto[f] + files[f]["count"] + 1, i) for i, (p, f) in enumerate(zip(drawn, of))], "_file string, _place long, draw long")
+    some = lines.join(F.broadcast(places.select("_file").distinct()), F.col("src_file") == F.col("_file"), "left_semi")
+    placed = numbered(some, ["line_no"], ["src_file"], "_at")
+    return placed.join(F.broadcast(places), (F.col("src_file") == F.col("_file")) & (F.col("_at") == F.col("_place"))).drop("_file", "_place", "_at")
 
 
 def split(rows: DataFrame, group: str, fraction: float, seed: int) -> DataFrame:

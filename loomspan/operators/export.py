@@ -47,10 +47,10 @@ def judged(traces: DataFrame, config: ExportConfig) -> DataFrame:
     rows = traces.withColumn("reason", reason(config))
     if not config.dedup:
         return rows.withColumn("repeat", F.lit(False))
-    first = rows.where("reason is null").groupBy(F.col("dedup_key").alias("_key")).agg(F.min(F.struct("src_file", "line_no")).alias("_first"))
-    joined = rows.join(first, F.col("dedup_key") == F.col("_key"), "left")
-    repeat = F.col("reason").isNull() & (F.struct("src_file", "line_no") != F.col("_first"))
-    return joined.withColumn("repeat", F.coalesce(repeat, F.lit(False))).drop("_key", "_first")
+    # The minimum is taken before the shuffle, and the first ones are joined by their own place, so that no key gathers its traces.
+    first = rows.where("reason is null").groupBy("dedup_key").agg(F.min(F.struct("src_file", "line_no")).alias("at")).select(F.col("at.src_file").alias("_file"), F.col("at.line_no").alias("_line"))
+    joined = rows.join(first, (F.col("src_file") == F.col("_file")) & (F.col("line_no") == F.col("_line")), "left")
+    return joined.withColumn("repeat", F.col("reason").isNull() & F.col("_line").isNull()).drop("_file", "_line")
 
 
 def messages_rows(rows: DataFrame) -> DataFrame:

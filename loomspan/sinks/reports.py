@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .. import __version__
 from ..fixed import SCHEMA_VERSION
 from ..operators.corpus import bad_split_rows, split
+from ..sources.lines import read_large_lines
 from .files import digests, exists, read_report, write_report
 
 EXPORTS = {"messages": "messages.jsonl", "sharegpt": "sharegpt.jsonl"}
@@ -97,10 +98,8 @@ def train_eval(spark: SparkSession, export: str, out: str, variant: str, fractio
 
 
 def _lines_of(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of an export (a folder of part files, or of *.jsonl)."""
-    files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True).select(F.col("_metadata.file_path").alias("src_file"), "value")
-    each = files.select("src_file", F.posexplode(F.split("value", "\r?\n")).alias("at", "raw"))
-    return each.where(F.trim("raw") != "").select("src_file", (F.col("at") + 1).cast("long").alias("line_no"), "raw")
+    """Lines of an export (a folder of part files, or of *.jsonl), with places in the order of lines."""
+    return read_large_lines(spark, path, "*")
 
 
 def verify_train_eval(spark: SparkSession, out: str) -> dict:
