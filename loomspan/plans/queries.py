@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from ..config import ExportConfig
 from ..functions.records import traces, traces_of_turns
-from ..functions.text import hmac_sha256, matches_any, parse_bound, stable_rank
+from ..functions.text import hmac_sha256, matches_any, stable_rank
 from ..operators import corpus, export, verify
-from ..operators.redact import redact, redact_text, stable_text
+from ..operators.redact import Identity, host_allowed, redact, redact_text, stable_text
 from ..config import RedactorConfig
 
 KEY = "loomspan-queries"
@@ -128,10 +128,9 @@ SINCE, UNTIL = "2024-01-02T00:00:00+00:00", "2024-01-20T12:00:00"
 
 
 def since_until(spark, sf_dir):
-    a, b = parse_bound("since", SINCE), parse_bound("until", UNTIL)
-    at = F.unix_micros(F.col("ts").cast("timestamp")) / 1e6
-    reason = F.when(at.isNull() | (at < a), "before_since").when(at > b, "after_until").otherwise("kept")
-    return table(spark, sf_dir, "events").groupBy("event_type", reason.alias("reason")).agg(F.count("*").alias("n"))
+    rows = table(spark, sf_dir, "events").select("event_type", (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("created"))
+    why = F.coalesce(export.reason(ExportConfig(since=SINCE, until=UNTIL)), F.lit("kept"))
+    return rows.groupBy("event_type", why.alias("reason")).agg(F.count("*").alias("n"))
 
 
 def redact_documents(spark, sf_dir):
@@ -190,10 +189,11 @@ def sample_turns(spark, sf_dir):
 
 
 def sensitive_urls(spark, sf_dir):
+    """URLs of pages by whether their host is allowed, and what the url rule makes of each kind."""
     url = F.coalesce("url", F.lit(""))
-    host = F.lower(F.regexp_extract(url, r"(?i)^https?://([^/:?#]+)", 1))
-    public = (host == "example.com") | host.endswith(".example.com")
-    return table(spark, sf_dir, "pages").groupBy(F.when(host == "", "no url").when(public, "public").otherwise("private").alias("kind")).agg(F.count("*").alias("n"))
+    told = redact_text(F.concat(F.lit("see "), url), ["url"], Identity("__nobody__", "__nowhere__", hosts=("example.com",)))
+    kind = F.when(~url.rlike(r"(?i)^https?://[^/:?#]"), "no url").when(host_allowed(url, ("example.com",)), "public").otherwise("private")
+    return table(spark, sf_dir, "pages").groupBy(kind.alias("kind"), (told != F.concat(F.lit("see "), url)).alias("marked")).agg(F.count("*").alias("n"))
 
 
 def stable_order(spark, sf_dir):
@@ -271,6 +271,6 @@ ORACLE_SQL = {
     "corpus_totals": f"WITH {_PER} SELECT count(*) AS total_conversations, min(n) AS turn_count_min, max(n) AS turn_count_max, round(avg(n), 6) AS turn_count_mean, CAST(sum(chars) AS BIGINT) AS total_assistant_chars, CAST(sum(said) AS BIGINT) AS total_assistant_messages, CAST(0 AS BIGINT) AS total_tool_calls, count(*) AS zero_tool_conversations FROM c WHERE said > 0",
     "stats_by_source": f"WITH {_PAIRS}, {_PER.removeprefix(_T + ', ')} SELECT 'table' AS source, count(*) AS conversations, CAST(sum(chars) AS BIGINT) AS assistant_chars FROM c WHERE conv_id IN (SELECT conv_id FROM p)",
     "stats_by_model": f"WITH {_PER} SELECT 'unknown' AS model, count(*) AS conversations, CAST(sum(said) AS BIGINT) AS assistant_messages, CAST(0 AS BIGINT) AS tool_calls, count(*) AS zero_tool_conversations, CAST(0 AS DOUBLE) AS tool_calls_per_assistant_message FROM c WHERE said > 0",
-    "sensitive_urls": r"SELECT CASE WHEN h = '' THEN 'no url' WHEN h = 'example.com' OR h LIKE '%.example.com' THEN 'public' ELSE 'private' END AS kind, count(*) AS n FROM (SELECT lower(regexp_extract(coalesce(url, ''), '(?i)^https?://([^/:?#]+)', 1)) AS h FROM pages) GROUP BY 1",
+    "sensitive_urls": r"SELECT CASE WHEN h = '' THEN 'no url' WHEN h = 'example.com' OR h LIKE '%.example.com' THEN 'public' ELSE 'private' END AS kind, h <> '' AND NOT (h = 'example.com' OR h LIKE '%.example.com') AS marked, count(*) AS n FROM (SELECT lower(regexp_extract(coalesce(url, ''), '(?i)^https?://([^/:?#]+)', 1)) AS h FROM pages) GROUP BY 1, 2",
     "stable_order": f"SELECT DISTINCT conv_id, {_RANK.format('conv_id')} AS rank FROM conversations",
 }

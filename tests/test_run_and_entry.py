@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__
 from loomspan import cli
 from loomspan.functions.records import traces
-from loomspan.plans import queries
+from loomspan.plans import logs, queries, rich
 from loomspan.sinks.reports import card
 from loomspan.streaming import ingest
 
@@ -95,13 +95,17 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+OWN = {name: (query, m.ORACLE_SQL) for m in (queries, logs, rich) for name, query in m.QUERIES.items()}
+
+
+@pytest.mark.parametrize("name", sorted(OWN))
 def test_query(spark, duck, name):
-    df = queries.QUERIES[name](spark, SF)
+    query, sql = OWN[name]
+    df = query(spark, SF)
     cols = sorted(df.columns)
     got = sorted(tuple(str(r[c]) for c in cols) for r in df.collect())
-    if name in queries.ORACLE_SQL:
-        r = duck.execute(queries.ORACLE_SQL[name])
+    if name in sql:
+        r = duck.execute(sql[name])
         names = [c[0] for c in r.description]
         assert sorted(names) == cols
         assert got == sorted(tuple(str(x[names.index(c)]) for c in cols) for x in r.fetchall())
