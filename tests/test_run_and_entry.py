@@ -9,7 +9,8 @@ import pytest
 import __spark_entry__
 from loomspan import cli
 from loomspan.functions.records import traces
-from loomspan.plans import logs, queries, rich
+from loomspan.plans import logs as log_queries
+from loomspan.plans import queries, rich
 from loomspan.sinks.reports import card
 from loomspan.streaming import ingest
 
@@ -95,7 +96,7 @@ def duck():
     return con
 
 
-OWN = {name: (query, m.ORACLE_SQL) for m in (queries, logs, rich) for name, query in m.QUERIES.items()}
+OWN = {name: (query, m.ORACLE_SQL) for m in (queries, log_queries, rich) for name, query in m.QUERIES.items()}
 
 
 @pytest.mark.parametrize("name", sorted(OWN))
