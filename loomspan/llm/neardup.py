@@ -17,10 +17,11 @@ drawn, so a set costs about m * (ln m + 10) points whatever its size.
 4. In buckets that still hold several components, every class outside the
    largest component meets every class of another one.  Classes of such buckets
    get `FINE` registers, of which the meeting compares three bits each; only
-   pairs with few enough that differ come out of it, from their first bucket.  Pairs inside a component
-   can change nothing, so no group is expanded into all its pairs; what is left
-   of quadratic work is the comparison of words of bits within buckets, between
-   classes that are near but not near enough.
+   pairs with few enough that differ come out of it, from their first bucket,
+   and go through the joint likelihood and the confirmation as before.  Pairs
+   inside a component can change nothing, so no group is expanded into all its
+   pairs; what is left of quadratic work is the comparison of words of bits
+   within buckets, between classes that are near but not near enough.
 
 Sets so small that one shingle more is too much (fewer than 6 at 0.85) can only
 be linked with equal ones.  Registers come from 64-bit hashes of shingles, which
@@ -47,12 +48,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.rank import numbered
-from .common import LOWER, NOT_SPACE, U64, mix, passes, span_hashes, spans_of, stored, table, utf8
+from .common import LOWER, NOT_SPACE, PASS_BYTES, U64, mix, passes, span_hashes, spans_of, stored, table, utf8
 from .components import components
 
 ROWS, BANDS = 5, 32
 REGISTERS = ROWS * BANDS
 FINE = 1024
+#: Pairs of one text that are confirmed by one task.
+DEALT = 512
 BASE = 1.01
 WIDTH, SIMILAR = 3, (85, 100)
 _GOLD = U64(0x9E3779B97F4A7C15)
@@ -262,24 +265,46 @@ def _promising(pairs: DataFrame, sketches: DataFrame, similar: tuple[int, int])
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, similar: tuple[int, int]) -> DataFrame:
-    """The pairs (a, b) whose full sets of shingles, compared word by word, are similar enough."""
-    side = lambda x: texts.select(F.col("doc_id").alias(x), F.coalesce("text", F.lit("")).alias(f"t_{x}"))
+    """The pairs (a, b) whose full sets of shingles, compared word by word, are similar enough.
+
+    A text that is in very many pairs is dealt over several keys, `DEALT` pairs
+    each; for each key it comes once, before the texts that it is compared with.
+    """
+    several = pairs.groupBy("a").agg(F.ceil(F.count("*") / DEALT).alias("parts"))
+    dealt = pairs.join(several, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"))
+    text = lambda x: texts.select(F.col("doc_id").alias(x), F.coalesce("text", F.lit("")).alias("text"))
+    heads = dealt.select("a", "part").distinct().join(text("a"), "a").select("a", "part", F.lit(None).cast("long").alias("b"), "text")
+    rows = heads.unionByName(dealt.join(text("b"), "b").select("a", "part", "b", "text"))
+    ordered = rows.repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
 
     def run(batches):
-        for batch in batches:
-            size = sum(pc.binary_length(batch.column(c)).to_numpy(zero_copy_only=False).astype(np.int64) for c in (2, 3))
-            for i, j in passes(np.concatenate([[0], np.cumsum(size)])):
-                part = batch.slice(i, j - i)
-                both = pa.chunked_array([part.column(2), part.column(3)]).combine_chunks().dictionary_encode()
-                sets = exact_sets(*utf8(both.dictionary), width)
-                index, keep = both.indices.to_pylist(), []
-                for a, b in zip(index[: part.num_rows], index[part.num_rows :]):
-                    a, b = sets[a], sets[b]
-                    common = len(np.intersect1d(a, b, assume_unique=True))
-                    keep.append(similar[1] * common >= similar[0] * (len(a) + len(b) - common))
-                yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        head, a, held, size = "", None, [], 0
+
+        def told():
+            column = pa.array([head, *(t for _, t in held)], pa.large_string())
+            first, *others = exact_sets(*utf8(column), width)
+            keep = []
+            for (b, _), other in zip(held, others):
+                common = len(np.intersect1d(first, other, assume_unique=True))
+                if similar[1] * common >= similar[0] * (len(first) + len(other) - common):
+                    keep.append(b)
+            return pa.RecordBatch.from_arrays([pa.array([a] * len(keep), pa.int64()), pa.array(keep, pa.int64())], ["a", "b"])
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "t_a", "t_b").mapInArrow(run, "a long, b long")
+        for batch in batches:
+            for x, b, t in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
+                if b is None or size > PASS_BYTES:
+                    if held:
+                        yield told()
+                    held, size = [], 0
+                if b is None:
+                    head, a = t.as_py(), x
+                else:
+                    held.append((b, t.as_py()))
+                    size += len(held[-1][1])
+        if held:
+            yield told()
+
+    return ordered.mapInArrow(run, "a long, b long")
 
 
 def named(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
@@ -331,8 +356,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, similar: tuple[int, int
     first = functools.reduce(lambda a, b: a & b, [(F.lit(i) >= F.col("band")) | (F.col("bx")[i] != F.col("by")[i]) for i in range(BANDS)])
     rest = one.join(two, (F.col("key") == F.col("k2")) & (F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("main")) | (F.col("x") < F.col("y"))) & sizes & close & first)
     rest = rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    # The fine registers tell more than the likelihood over the others could.
-    more = stored(_confirmed(rest, texts, width, similar), "confirmed")
+    more = stored(_confirmed(_promising(rest, sketches, similar), texts, width, similar), "confirmed")
     if more.limit(1).count():
         found = components(links.union(more))
 
