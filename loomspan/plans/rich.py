@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import ExportConfig, RedactorConfig
 from ..functions.records import traces
-from ..operators import corpus, export, layers, redact, verify
+from ..operators import corpus, export, identity, layers, redact, verify
 from ..scratch import folder, stored
 from ..sinks import files, reports
 from ..sources.lines import checked, read_large_lines, read_lines
@@ -217,6 +217,13 @@ def first_findings(spark, sf_dir):
     return verify.scan_records(_secret_records(spark, sf_dir)).where("category = 'email'").orderBy("src_file", "line_no", "category").limit(20).select("src_file", "line_no", "category")
 
 
+def machine_terms(spark, sf_dir):
+    """Private terms of a made-up machine."""
+    git = {"user.name": "Ada de Lovelace", "user.email": "ada.l@lovelace.org"}
+    found = identity.private_terms("/nowhere/zedhome", "zed", {"USER": "root", "LOGNAME": "-zed_"}, "quark.local", lambda name: git.get(name, ""))
+    return spark.createDataFrame([(i, t) for i, t in enumerate(found)], "n long, term string")
+
+
 #: rule: what a text holds, with * for a number, and what becomes of it; stable ones become a placeholder of what stands between the bars.
 EXAMPLES = {
     "private_key": ("-----BEGIN RSA PRIVATE KEY-----\nMII*\n-----END RSA PRIVATE KEY-----", "[SECRET:PRIVATE_KEY]"), "pi_encoded_path_component": ("in |--home-me-x*--| ok", None), "authorization_bearer": ("Authorization: Bearer abcdefgh*", "Authorization: Bearer [SECRET:BEARER_TOKEN]"),
@@ -307,7 +314,7 @@ def scanner_layer(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     rich_traces, filter_order, filter_times, filter_tools, export_stages, export_summaries, rich_totals, rich_models, rich_sources, token_totals, split_problems, filled_order, messages_lines, sharegpt_lines, file_digests, train_eval_rows,
-    card_table, record_redaction, redaction_counts, record_findings, first_findings, rule_examples, rule_records, sensitive_fields, privacy_layer, residue_layer, scanner_layer)}
+    card_table, record_redaction, redaction_counts, record_findings, first_findings, rule_examples, rule_records, sensitive_fields, machine_terms, privacy_layer, residue_layer, scanner_layer)}
 
 # --- the same in SQL ---
 _T = "t AS (SELECT CAST(conv_id AS BIGINT) AS c, CAST(turn AS BIGINT) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations)"
@@ -397,6 +404,7 @@ ORACLE_SQL = {
     "rule_records": f"WITH {_C} SELECT rule, count(*) AS n FROM ids, (VALUES " + ", ".join(f"('{r}')" for r in EXAMPLES if r not in BEFORE) + ") w(rule) GROUP BY rule",
     "sensitive_fields": """SELECT unnest(range(16)) AS n, unnest(['[REDACTED:SENSITIVE_FIELD]', '[REDACTED:SENSITIVE_FIELD]', '[REDACTED:SENSITIVE_FIELD]', '[REDACTED:SENSITIVE_FIELD]', 'v', '[REDACTED:SENSITIVE_FIELD]', 'v', '[REDACTED:SENSITIVE_FIELD]', '[REDACTED:SENSITIVE_FIELD]', 'v', '[REDACTED:SENSITIVE_FIELD]',
       '[REDACTED:SHARE_METADATA]', '[REDACTED:OPAQUE_PROVIDER_BLOB]', '[REDACTED:OPAQUE_PROVIDER_BLOB]', 'v', '[REDACTED:SENSITIVE_FIELD]']) AS value""",
+    "machine_terms": "SELECT unnest(range(9)) AS n, unnest(['Ada de Lovelace', 'lovelace.org', 'AdaLovelace', 'Lovelace', 'zedhome', 'ada.l', 'quark', 'Ada', 'zed']) AS term",
     "privacy_layer": f"""WITH {_C} SELECT c AS conv_id, '{{"a": "my name is [PII_MODEL:PERSON] ' || c % 5 || '", "b": "Alice ' || c || '", "Alice": "phone of [PII_MODEL:PERSON] or Bob"}}' AS raw FROM ids""",
     "residue_layer": f"""WITH {_C}, g AS (SELECT c % 3 AS s FROM ids WHERE c % 2 = 0 GROUP BY 1) SELECT c AS conv_id, '{{"a": "my name is Alice ' || c % 5 || '", "b": "Alice ' || c || '", "Alice": "phone of Alice or ' || CASE WHEN s IS NULL THEN 'Bob' ELSE '[LLM_PII:NAME]' END || '"}}' AS raw FROM ids LEFT JOIN g ON s = c % 3""",
     "scanner_layer": f"""WITH {_C} SELECT c AS conv_id, CASE WHEN c % 4 = 1 THEN '{{"type":"redacted_record","redacted":true,"redaction_reason":"gitleaks_other"}}' ELSE '{{"a": "my name is Alice ' || c % 5 || '", "b": "Alice ' || c || '", "Alice": "phone of Alice or [SECRET:GITLEAKS_SOME_RULE]"}}' END AS raw, 'clean' AS status, CAST(2 AS BIGINT) AS rounds FROM ids""",
