@@ -23,7 +23,6 @@ an empty benchmark hits nothing.  Columns that the input brings are kept in
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
 
 import numpy as np

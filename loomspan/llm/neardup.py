@@ -18,10 +18,10 @@ drawn, so a set costs about m * (ln m + 10) points whatever its size.
    largest component meets every class of another one.  Classes of such buckets
    get `FINE` registers, of which the meeting compares three bits each; only
    pairs with few enough that differ come out of it, from their first bucket,
-   and go through the joint likelihood and the confirmation as before.  Pairs
-   inside a component can change nothing, so no group is expanded into all its
-   pairs; what is left of quadratic work is the comparison of words of bits
-   within buckets, between classes that are near but not near enough.
+   and are confirmed as before.  Pairs inside a component can change nothing, so
+   no group is expanded into all its pairs; what is left of quadratic work is
+   the comparison of words of bits within buckets, between classes that are near
+   but not near enough.
 
 Sets so small that one shingle more is too much (fewer than 6 at 0.85) can only
 be linked with equal ones.  Registers come from 64-bit hashes of shingles, which
@@ -270,8 +270,9 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, similar: tuple[in
     A text that is in very many pairs is dealt over several keys, `DEALT` pairs
     each; for each key it comes once, before the texts that it is compared with.
     """
+    pairs = stored(pairs, "pairs")
     several = pairs.groupBy("a").agg(F.ceil(F.count("*") / DEALT).alias("parts"))
-    dealt = pairs.join(several, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"))
+    dealt = stored(pairs.join(several, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part")), "dealt")
     text = lambda x: texts.select(F.col("doc_id").alias(x), F.coalesce("text", F.lit("")).alias("text"))
     heads = dealt.select("a", "part").distinct().join(text("a"), "a").select("a", "part", F.lit(None).cast("long").alias("b"), "text")
     rows = heads.unionByName(dealt.join(text("b"), "b").select("a", "part", "b", "text"))
@@ -356,7 +357,8 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, similar: tuple[int, int
     first = functools.reduce(lambda a, b: a & b, [(F.lit(i) >= F.col("band")) | (F.col("bx")[i] != F.col("by")[i]) for i in range(BANDS)])
     rest = one.join(two, (F.col("key") == F.col("k2")) & (F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("main")) | (F.col("x") < F.col("y"))) & sizes & close & first)
     rest = rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    more = stored(_confirmed(_promising(rest, sketches, similar), texts, width, similar), "confirmed")
+    # The fine registers tell more than the likelihood over the others could.
+    more = stored(_confirmed(rest, texts, width, similar), "confirmed")
     if more.limit(1).count():
         found = components(links.union(more))
 

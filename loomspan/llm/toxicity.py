@@ -27,7 +27,6 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
