@@ -4,8 +4,8 @@ A text is cut as the pattern of the rank file cuts it: by character classes
 (letters, numbers, white space, others) over whole arrays of UTF-8 bytes, which
 gives the same pieces as the regular expression.  Arrow numbers the distinct
 pieces of a pass, comparing them byte by byte; each is encoded once by the
-tokenizers library (a bounded cache keeps pieces between passes), and ids of a
-text are gathered by piece.  The model is built from the rank file: its
+tokenizers library (a bounded cache keeps pieces between passes; they are found
+by hash and then compared byte by byte), and ids of a text are gathered by piece.  The model is built from the rank file: its
 vocabulary in the byte-to-character alphabet, and the merges that the ranks
 imply.
 
@@ -29,7 +29,6 @@ import codecs
 import hashlib
 import os
 from functools import lru_cache
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +36,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import passes, table, utf8, with_columns
+from .common import passes, span_hashes, table, utf8, with_columns
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 #: Pieces that a worker keeps between passes.
@@ -143,9 +142,12 @@ class Bpe:
     """Encoder of many texts; `source` is the JSON of a byte-level tokenizer without its cutting of texts."""
 
     def __init__(self, source: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(source)
+        # Pieces come in the alphabet of the vocabulary, which has no blank.
+        self.tokenizer.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        self.letter = np.array([ord(c) for c in byte_alphabet()], "<u4")
         self.tokenizer.encode_special_tokens = True
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
@@ -154,7 +156,9 @@ class Bpe:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        # Bytes of the known pieces, where each begins (one more: the end), their hashes, and a table of places by hash.
+        self.data, self.begin, self.hash = np.zeros(0, np.uint8), np.zeros(1, np.int64), np.zeros(0, np.uint64)
+        self.slots = np.full(1 << 12, -1, np.int64)
         self.ids = np.zeros(0, np.uint32)
         self.place = np.zeros(1, np.int64)  # where the ids of each known piece begin (one more: the end)
 
@@ -177,17 +181,53 @@ class Bpe:
         tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         return tokenizer.to_str()
 
-    def _learn(self, words: list[str]) -> None:
-        """Encode words as one sequence; the bytes of its ids tell where each word ends."""
-        ids = np.array(self.tokenizer.encode_batch_fast([words], is_pretokenized=True, add_special_tokens=False)[0].ids, np.uint32)
+    def _learn(self, data: np.ndarray, begin: np.ndarray, hashes: np.ndarray) -> None:
+        """Encode pieces as one sequence; the bytes of its ids tell where each piece ends."""
+        end = begin[1:]
+        letters = np.full(len(data) + len(end), 0x20, "<u4")
+        letters[np.arange(len(data)) + np.repeat(np.arange(len(end)), np.diff(begin))] = self.letter[data]
+        ids = np.array(self.tokenizer.encode_batch_fast([letters.tobytes().decode("utf-32-le")], add_special_tokens=False)[0].ids, np.uint32)
         upto = np.cumsum(self.bytes[ids])
-        end = np.cumsum(np.fromiter((len(w.encode()) for w in words), np.int64, len(words)))
         place = np.searchsorted(upto, end) + 1
         if (upto[place - 1] != end).any():
             raise ArithmeticError("ids do not keep to their words")
-        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
         self.place = np.concatenate([self.place, place + self.place[-1]])
         self.ids = np.concatenate([self.ids, ids])
+        self.data, self.begin, self.hash = np.concatenate([self.data, data]), np.concatenate([self.begin, end + self.begin[-1]]), np.concatenate([self.hash, hashes])
+        known = len(self.hash)
+        left = np.arange(known - len(end), known)
+        if 2 * known > len(self.slots):
+            self.slots, left = np.full(1 << (4 * known).bit_length(), -1, np.int64), np.arange(known)
+        last = np.uint64(len(self.slots) - 1)
+        at = (self.hash[left] & last).astype(np.int64)
+        while len(left):
+            free = self.slots[at] < 0
+            self.slots[at[free]] = left[free]
+            wait = self.slots[at] != left
+            left, at = left[wait], (at[wait] + 1) & int(last)
+
+    def _find(self, data: np.ndarray, begin: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """The place of each piece among the known ones (-1: none); a hash alone decides nothing."""
+        out, left, last = np.full(len(hashes), -1, np.int64), np.arange(len(hashes)), len(self.slots) - 1
+        at = (hashes & np.uint64(last)).astype(np.int64)
+        if not len(self.hash):
+            return out
+        while len(left):
+            got = self.slots[at]
+            fits = (got >= 0) & (self.hash[got] == hashes[left])
+            out[left[fits]] = got[fits]
+            go = (got >= 0) & ~fits
+            left, at = left[go], (at[go] + 1) & last
+        size = np.diff(begin)
+        found = np.flatnonzero(out >= 0)
+        other = size[found] != self.begin[out[found] + 1] - self.begin[out[found]]
+        out[found[other]] = -1
+        found = found[~other]
+        size, upto = size[found], np.cumsum(size[found])
+        step = np.arange(upto[-1] if len(upto) else 0)
+        differs = data[step + np.repeat(begin[found] - upto + size, size)] != self.data[step + np.repeat(self.begin[out[found]] - upto + size, size)]
+        out[found[np.searchsorted(upto, np.flatnonzero(differs), "right")]] = -1
+        return out
 
     def encode(self, texts: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and where each text begins in them (one more: the end)."""
@@ -206,16 +246,18 @@ class Bpe:
         # Pieces follow each other without a gap, so they are an Arrow column over the bytes as they are.
         edges = np.append(begin, len(data))
         coded = pa.LargeStringArray.from_buffers(len(begin), pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(data))).dictionary_encode()
-        words, same = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        piece = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        same = coded.indices.to_numpy()
+        words, at = utf8(coded.dictionary)
+        hashes = span_hashes(words, at[:-1], at[1:])
+        piece = self._find(words, at, hashes)
         fresh = np.flatnonzero(piece < 0)
         if len(fresh):
-            if len(self.known) + len(fresh) > CACHE:
+            if len(self.hash) + len(fresh) > CACHE:
                 # Whatever a pass needs stays until its end, even if it is more than the bound.
                 self._forget()
-                fresh = np.arange(len(words))
-            piece[fresh] = len(self.known) + np.arange(len(fresh))
-            self._learn([words[k] for k in fresh])
+                fresh = np.arange(len(hashes))
+            piece[fresh] = len(self.hash) + np.arange(len(fresh))
+            self._learn(*utf8(coded.dictionary.take(pa.array(fresh))), hashes[fresh])
         count = (self.place[piece + 1] - self.place[piece]).astype(np.int32)[same]
         upto = np.cumsum(count, dtype=np.int32 if len(data) < 1 << 30 else np.int64)
         at = self.place[piece].astype(upto.dtype)[same]

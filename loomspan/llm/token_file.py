@@ -3,24 +3,26 @@
 A segment holds whole consecutive documents.  Its bytes are
 
     magic "LSTF", version, number of documents, ids, blocks, and bytes of the
-    table of order 0 (u32 each); that table, deflated: for each id that the
-    segment holds, its distance from the one before and its share (u32);
+    model (u32 each); the model: numbers of distinct ids and of pairs (u32), the
+    weights of orders 2, 1 and 0 (i32), then, deflated, for each id its distance
+    from the one before, its share and its number of successors, and for each
+    pair its successor, share, prediction and how sure that is (u32 each);
     doc_id (i64) and number of ids (u32) of each document;
-    number of ids, number of 16-bit words, and crc32 of the ids (u32) of each block;
+    number of ids, number of 32-bit words, and crc32 of the ids (u32) of each block;
     the words of the blocks; the crc32 (u32) of all bytes before it.
 
 All numbers are little-endian.  Blocks of `BLOCK` ids are coded independently:
-every block starts from the same state, so any one can be decoded and checked
-alone, and all blocks of a segment are coded in step, as lanes of numpy arrays.
-
-For each id, order 2 (the last two ids) and order 1 (the last id) each predict
-the id that followed last time.  A first binary decision says whether the better
-of the two predictions holds; its chance is mixed in the logistic domain from
-what order 2, order 1 and order 0 (the share of the predicted id) say, with
-weights that learn within the block.  If it does not hold and order 1 predicts
-another id, a second decision tells of that one.  What neither predicts is one
-interval of order 0.  All arithmetic is on integers, so that encoding and
-decoding agree on every machine.
+they share the model alone, so any one can be decoded and checked alone, and all
+blocks of a segment are coded in step, as lanes of numpy arrays.
+
+The model is counted over the whole segment and goes with it.  Where the last
+two ids (order 2) predict the next one well enough, a first binary decision says
+whether it comes; its chance is mixed in the logistic domain from what order 2,
+order 1 (the share of the pair) and order 0 (the share of the id) say of it, with
+weights fitted to the segment.  Else the id is one interval of order 1, among
+those that often follow the last id, or a way out and one interval of order 0.
+What coder and decoder share is arithmetic on integers, so that they agree on
+every machine; only the choice of what goes into the model is not.
 
 A corpus is a table of segments (`part`, `seq`, `n_ids`, `data`) in the shared
 folder, ordered by (part, seq) as documents by doc_id.
@@ -44,7 +46,7 @@ from pyspark.sql import functions as F
 from .bpe import Bpe, _once, rank_file
 from .common import stored, table
 
-MAGIC, VERSION = b"LSTF", 2
+MAGIC, VERSION = b"LSTF", 3
 BLOCK = 4096
 #: Ids of a segment, about; a longer document is a segment of its own.
 SEGMENT = 6 << 20
@@ -52,252 +54,390 @@ SEGMENT = 6 << 20
 LANES = 2048
 END_ID = 2
 NULL_DOC = -(1 << 63)
-#: Slots of a lane's table of each order.
-SLOTS = 1024
 #: Bits of the shares of order 0.
 SHARE = 20
 _U = np.uint64
+_ZERO, _HALF, _FULL = _U(0), _U(32), _U(1 << 32)
+#: Parts of the numbers that tell of a state and of an entry.
+_CHANCE, _ROOM, _AWAY = _U(0x1FFF), _U((1 << 25) - 1), _U(1 << 25)
+#: Pairs that come less often have no share of order 1 and are coded by order 0; more in segments of over 8 million
+#: ids, so that a long document has no larger a model.
+PAIR, PAIRS = 3, 21
+#: Bits that a prediction of order 2 has to save before it is worth its place.
+WORTH = 20
+#: Steps that are prepared, or turned, at a time, to stay within the cache.
+TILE = 8
+#: Ids that are counted and looked up at a time, for the same reason.
+CHUNK = 1 << 15
 
 # Fixed tables of the logistic domain: chances of 12 bits, logits of 8 bits after the point.
-_SQUASH = np.clip(np.rint(4096 / (1 + np.exp(-np.arange(-2047, 2048) / 256))), 32, 4064).astype(np.int32)
-_STRETCH = np.clip(np.rint(256 * np.log((np.arange(4096) + 0.5) / (4095.5 - np.arange(4096)))), -2047, 2047).astype(np.int32)
-
-
-class Shares:
-    """Order 0 of a segment: each id that it holds has a share of 2**SHARE, by how often it comes."""
+_SQUASH = np.clip(np.rint(4096 / (1 + np.exp(-np.arange(-2047, 2048) / 256))), 32, 4064).astype(np.int64)
+_STRETCH = np.clip(np.rint(256 * np.log((np.arange(4096) + 0.5) / (4095.5 - np.arange(4096)))), -2047, 2047).astype(np.int64)
+
+
+def _packed(*columns: np.ndarray) -> bytes:
+    """Columns of 32-bit numbers, deflated byte by byte."""
+    flat = np.concatenate(columns).astype("<u4")
+    return zlib.compress(flat.view(np.uint8).reshape(-1, 4).T.tobytes(), 6)
+
+
+def _unpacked(data: bytes, *sizes: int) -> list[np.ndarray]:
+    flat = np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1).T).view("<u4").ravel()
+    return np.split(flat.astype(np.int64), np.cumsum(sizes)[:-1])
+
+
+def _turned(rows: np.ndarray) -> np.ndarray:
+    out = np.empty(rows.shape[::-1], rows.dtype)
+    for k in range(0, out.shape[0], TILE):
+        out[k : k + TILE] = rows[:, k : k + TILE].T
+    return out
+
+
+def _looked_up(keys: np.ndarray, known: np.ndarray, values: np.ndarray, other: int) -> np.ndarray:
+    """The value of each 32-bit key that is known; of any other one, `other` and its lower half."""
+    bits = max(4, (4 * len(known)).bit_length())
+    slot = lambda x: (x * np.uint32(2654435769) >> np.uint32(32 - bits)).astype(np.int64)
+    table_, at, left = np.zeros(1 << bits, _U), slot(known), np.arange(len(known))
+    entry = known.astype(_U) << _HALF | values.astype(_U)  # no value is 0, so that 0 is free
+    while len(left):
+        free = left[table_[at[left]] == 0]
+        table_[at[free]] = entry[free]
+        left = left[table_[at[left]] != entry[left]]
+        at[left] = (at[left] + 1) & ((1 << bits) - 1)
+    out = np.empty(len(keys), np.int32)
+    for k in range(0, len(keys), CHUNK):
+        x = keys[k : k + CHUNK]
+        at = slot(x)
+        got = table_.take(at, mode="clip")
+        value = got.astype(np.uint32)
+        left = np.flatnonzero((got >> _HALF) != x)
+        value[left] = 0
+        left = left[got[left] != 0]
+        at = at[left]
+        while len(left):
+            at = (at + 1) & ((1 << bits) - 1)
+            got = table_.take(at)
+            fit = (got >> _HALF) == x[left]
+            value[left[fit]] = got[fit]
+            go = ~fit & (got != 0)
+            left, at = left[go], at[go]
+        left = np.flatnonzero(value == 0)
+        value[left] = (x[left] & np.uint32(0xFFFF)) + np.uint32(other)
+        out[k : k + CHUNK] = value
+    return out
+
+
+class Model:
+    """What a segment says of its ids, which its blocks are coded by.
+
+    Ids stand by their rank among those of the segment.  A row for each (and one
+    for the start of a block) has entries: the way out to order 0, then the ids
+    that follow often, with shares of 2**bits of the row.  The state of a lane is
+    the entry that it took last, which tells the last two ids, or, after a way
+    out, one that tells the last id alone.  Entry 0 takes no room: it stands for
+    what order 2 has settled.
+    """
 
-    def __init__(self, ids: np.ndarray, share: np.ndarray):
-        self.ids, self.share = ids.astype(np.int64), share.astype(np.int64)
-        self.below = np.zeros(1 << 16, np.int64)
-        self.of = np.zeros(1 << 16, np.int64)
-        self.below[self.ids], self.of[self.ids] = np.cumsum(self.share) - self.share, self.share
-        # What order 0 says of each id in the logistic domain; an id that the segment lacks is never predicted.
-        self.stretch = _STRETCH[np.minimum(self.of >> (SHARE - 12), 4095)]
-        self.spot: np.ndarray | None = None
+    def __init__(self, ids, share, kept, follows, share1, guess, level, weight):
+        n, m = len(ids), len(follows)
+        self.ids, self.share, self.kept, self.follows, self.share1, self.guess, self.level, self.weight = ids, share, kept, follows, share1, guess, level, weight
+        self.below = np.cumsum(share) - share
+        rows = np.append(kept, 0)  # the last one: the start of a block
+        bits = self.bits_of(rows)
+        first = 1 + np.cumsum(rows + 1) - (rows + 1)  # the way out of each row
+        self.n, self.out, self.start = 1 + m + n + 1, first, 1 + m + n + 1 + n
+        row = np.repeat(np.arange(n), kept)
+        entry = np.arange(m) + row + 2
+        # Entries: how wide they are, and what of their row comes before them.
+        self.wide = np.ones(self.n, np.int64)
+        self.wide[entry] = share1
+        used = np.zeros(n + 1, np.int64)
+        np.add.at(used, row, share1)
+        self.wide[first] = (1 << bits) - used
+        upto = np.cumsum(self.wide)
+        self.low = upto - self.wide
+        place = self.low[first]  # where the room of each row begins, after that of entry 0
+        self.low[1:] -= np.repeat(place, rows + 1)
+        self.low[0] = 0
+        # States: the rank of the last id, and its row.
+        self.rank = np.zeros(self.n + n + 1, np.int64)
+        self.rank[entry] = follows
+        self.rank[self.n :] = np.arange(n + 1)
+        self.bits, self.way = bits[self.rank], first[self.rank]
+        # Order 2: the entry that a state predicts, and the chance that it holds.
+        self.next, chance = np.full(len(self.rank), -1, np.int64), np.zeros(len(self.rank), np.int64)
+        has = np.flatnonzero(guess)
+        at = entry[has]
+        self.next[at] = first[follows[has]] + guess[has]
+        chance[at] = _SQUASH[np.clip((self.logits(at, self.next[at], level[has]) * weight[:, None]).sum(axis=0) >> 16, -2047, 2047) + 2047]
+        # As the coder wants them: chance, bits and place of a state; width, way out, and lower end of an entry.
+        self.state = (place[self.rank] << 18 | self.bits << 13 | chance).astype(_U)
+        self.room = self.low << 26 | self.wide
+        self.room[first] |= int(_AWAY)
+        self.room = self.room.astype(_U)
+
+    @staticmethod
+    def bits_of(kept: np.ndarray) -> np.ndarray:
+        """Bits of a row's shares: sixteen to thirty-two for each id that follows; none if none does."""
+        return np.where(kept > 0, np.frexp(kept)[1].astype(np.int64) + 4, 0)
+
+    def logits(self, state: np.ndarray, entry: np.ndarray, level: np.ndarray) -> np.ndarray:
+        """What orders 2, 1 and 0 say of an entry after a state."""
+        one = (self.wide[entry] << 12) >> self.bits[state]
+        none = self.share[self.rank[entry]] >> (SHARE - 12)
+        return np.stack([(level - 16) * 128, _STRETCH[np.minimum(one, 4095)], _STRETCH[np.minimum(none, 4095)]])
 
     @classmethod
-    def counted(cls, ids: np.ndarray) -> Shares:
-        count = np.bincount(ids, minlength=1)
+    def counted(cls, ids: np.ndarray, block: int) -> tuple[Model, np.ndarray]:
+        """The model of a segment's ids, and the state after each of them."""
+        count = np.zeros(1 << 16, np.int64)
+        for k in range(0, len(ids), CHUNK):
+            count += np.bincount(ids[k : k + CHUNK], minlength=1 << 16)
         here = np.flatnonzero(count)
-        share = 1 + (count[here] * ((1 << SHARE) - len(here)) // max(int(count.sum()), 1))
-        if len(here):
-            share[np.argmax(share)] += (1 << SHARE) - int(share.sum())
-        return cls(here, share)
+        n, none = len(here), np.zeros(0, np.int64)
+        share = 1 + (count[here] * ((1 << SHARE) - n) // max(len(ids), 1))
+        if not n:
+            return cls(here, share, none, none, none, none, none, np.zeros(3, np.int64)), np.zeros(0, np.int32)
+        share[np.argmax(share)] += (1 << SHARE) - int(share.sum())
+        rank = np.zeros(1 << 16, np.uint32)
+        rank[here] = np.arange(n)
+        # Pairs of ranks within blocks, in order: runs are the pairs.
+        pair = rank.take(ids)
+        pair[1:] |= pair[:-1] << np.uint32(16)
+        inner = np.delete(pair, slice(None, None, block))
+        inner.sort()
+        begin = np.flatnonzero(np.concatenate([[True], inner[1:] != inner[:-1]])[: len(inner)])
+        times, both = np.diff(begin, append=len(inner)), inner[begin]
+        del inner
+        row = (both >> np.uint32(16)).astype(np.int64)
+        total = np.maximum(np.bincount(row, times, n).astype(np.int64), 1)
+        often = times >= max(PAIR, len(ids) >> PAIRS)
+        both, row, times = both[often], row[often], times[often]
+        follows = (both & np.uint32(0xFFFF)).astype(np.int64)
+        kept = np.bincount(row, minlength=n)
+        states = _looked_up(pair, both, np.arange(len(both)) + row + 2, 2 + len(both) + n)
+        states[::block] = 2 + len(both) + n + rank[ids[::block]]
+        del pair
+        # Shares of a row: one for each entry, the rest by counts; sums are rounded, so that nothing is left over.
+        upto, first = np.cumsum(times), np.cumsum(kept) - kept
+        upto -= np.concatenate([[0], upto])[first][row]
+        spare = (1 << cls.bits_of(kept)) - 1 - kept
+        upto = upto * spare[row] // total[row]
+        share1 = 1 + np.diff(upto, prepend=0)
+        head = first[kept > 0]
+        share1[head] = 1 + upto[head]
+        none = np.zeros(len(row), np.int64)
+        model = cls(here, share, kept, follows, share1, none, none, np.zeros(3, np.int64))
+        guess, level, weight = model._guesses(states, block, times)
+        return cls(here, share, kept, follows, share1, guess, level, weight), states
+
+    def _guesses(self, states: np.ndarray, block: int, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The best successor of each pair where it is worth its place, how sure it is, and the weights of the orders."""
+        n, m = len(self.ids), len(self.follows)
+        guess, level, weight = np.zeros(m, np.int64), np.zeros(m, np.int64), np.zeros(3, np.int64)
+        entry = np.arange(m) + np.repeat(np.arange(n), self.kept) + 2
+        # Pairs of a state and the place of what follows in its row.
+        size = int(self.kept.max(initial=0)).bit_length()
+        kind = np.uint32 if size + self.n.bit_length() < 32 else _U
+        both, none = np.empty(max(len(states) - 1, 0), kind), np.iinfo(kind).max
+        way = self.way.astype(np.int32)
+        for k in range(0, len(both), CHUNK):
+            x, y = states[k : k + CHUNK][: len(both) - k], states[k + 1 : k + 1 + CHUNK]
+            key = x.astype(kind)
+            key <<= kind(size)
+            key |= (y - way.take(x, mode="clip")).astype(kind)
+            key[(x >= self.n) | (y >= self.n)] = none
+            both[k : k + CHUNK] = key
+        both[block - 1 :: block] = none
+        both.sort()
+        both = both[: np.searchsorted(both, none)]
+        if not len(both):
+            return guess, level, weight
+        begin = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
+        times, both = np.diff(begin, append=len(both)), both[begin].astype(np.int64)
+        before = both >> size
+        after = (both & ((1 << size) - 1)) + self.way[before]
+        group = np.flatnonzero(np.concatenate([[True], before[1:] != before[:-1]]))
+        best = np.maximum.reduceat(times << 32 | (len(times) - np.arange(len(times))), group)
+        at, hits = len(times) - (best & 0xFFFFFFFF), best >> 32
+        before, after = before[at], after[at]
+        misses = seen[np.searchsorted(entry, before)] - hits
+        q = np.clip(hits / (hits + misses), 1 / 128, 127 / 128)
+        one = self.wide[after] / (1 << self.bits[before])
+        worth = np.flatnonzero(hits * np.log2(q / one) + misses * np.log2(1 - q) > WORTH)
+        if not len(worth):
+            return guess, level, weight
+        before, after, hits, misses, q = before[worth], after[worth], hits[worth], misses[worth], q[worth]
+        sure = np.clip(np.rint(2 * np.log(q / (1 - q))), -16, 15).astype(np.int64) + 16
+        x = self.logits(before, after, sure) / 256
+        w, times = np.array([1.0, 0, 0]), hits + misses
+        for _ in range(6):  # Newton's steps of a logistic regression, held near order 2
+            p = 1 / (1 + np.exp(-np.clip(w @ x, -8, 8)))
+            w += np.linalg.solve((x * (times * p * (1 - p))) @ x.T + np.eye(3), x @ (hits - times * p) - (w - [1, 0, 0]))
+        if not np.isfinite(w).all():
+            w = np.array([1.0, 0, 0])
+        weight = np.clip(np.rint(w * 65536), -(1 << 20), 1 << 20).astype(np.int64)
+        k = np.searchsorted(entry, before)
+        guess[k], level[k] = after - self.out[self.rank[before]], sure
+        return guess, level, weight
 
     def packed(self) -> bytes:
-        return zlib.compress(np.concatenate([np.diff(self.ids, prepend=0), self.share]).astype("<u4").tobytes(), 6)
+        gaps = np.diff(self.follows, prepend=0)
+        head = (np.cumsum(self.kept) - self.kept)[self.kept > 0]
+        gaps[head] = self.follows[head]
+        return struct.pack("<2I3i", len(self.ids), len(self.follows), *self.weight.tolist()) + _packed(np.diff(self.ids, prepend=0), self.share, self.kept, gaps, self.share1, self.guess, self.level)
 
     @classmethod
-    def unpacked(cls, data: bytes) -> Shares:
-        both = np.frombuffer(zlib.decompress(data), "<u4").reshape(2, -1)
-        return cls(np.cumsum(both[0]), both[1])
-
-    def id_at(self, value: np.ndarray) -> np.ndarray:
-        if self.spot is None:
-            self.spot = np.repeat(self.ids, self.share)
-        return self.spot[value]
-
-
-class _Model:
-    """The state of n lanes."""
-
-    def __init__(self, n: int, shares: Shares):
-        lane = np.arange(n, dtype=np.int64)
-        self.share = shares.stretch
-        self.two, self.one = np.zeros(n * SLOTS, np.int32), np.zeros(n * SLOTS, np.int32)  # id << 4 | confidence, 0: none
-        self.base = lane * SLOTS
-        self.rate = [np.full(n * 16, 2048, np.int32), np.full(n * 32, 2048, np.int32)]
-        self.second = np.full(n * 16, 1024, np.int32)
-        self.at16, self.at32 = lane * 16, lane * 32
-        self.weight = [np.full(n, w, np.int32) for w in (26000, 22000, 8000)]
-        self.id, self.last, self.before = (np.zeros(n, np.int64) for _ in range(3))
-
-    def predict(self) -> tuple[np.ndarray, np.ndarray]:
-        """The predicted id of each lane (-1: none) and the chance of 12 bits that it holds."""
-        self.slot1 = self.base + ((self.last >> 4) & (SLOTS - 1))
-        self.slot2 = self.base + ((self.last + self.before >> 3) & (SLOTS - 1))
-        self.got1, self.got2 = self.one.take(self.slot1), self.two.take(self.slot2)
-        best = np.where(self.got2 > 0, self.got2, self.got1)
-        self.best = (best >> 4) - (best == 0)
-        agree = (self.got1 ^ self.got2) < 16
-        self.state = self.at16 + (self.got2 & 15), self.at32 + (self.got1 & 15) + (agree << 4)
-        self.known = [r.take(s) for r, s in zip(self.rate, self.state)]
-        self.stretch = [_STRETCH.take(k) for k in self.known]
-        self.stretch.append(self.share.take(self.best))
-        dot = self.weight[0] * self.stretch[0]
-        dot += self.weight[1] * self.stretch[1]
-        dot += self.weight[2] * self.stretch[2]
-        dot >>= 16
-        self.chance = _SQUASH.take(np.clip(dot, -2047, 2047, out=dot) + 2047)
-        return self.best, self.chance
-
-    def other(self, lanes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of lanes whose prediction failed: those for which order 1 predicts another id, that id, and its state."""
-        one = self.got1[lanes]
-        has = np.flatnonzero((one > 0) & ((one >> 4) != self.best[lanes]))
-        lanes, one = lanes[has], one[has]
-        return has, (one >> 4).astype(np.int64), self.at16[lanes] + (one & 15)
-
-    def learn_other(self, state: np.ndarray, hit: np.ndarray) -> None:
-        p = self.second[state]
-        self.second[state] = p + ((hit * 4095 - p) >> 4)
-
-    def learn(self, ids: np.ndarray, hit: np.ndarray) -> None:
-        """What the lanes coded; the state of lanes without ids does not matter any more."""
-        full = hit * np.int32(4095)
-        err = (full + hit) - self.chance
-        for w, s in zip(self.weight, self.stretch):
-            w += (s * err + 4096) >> 13
-            np.clip(w, -65536, 65536, out=w)
-        for r, at, p in zip(self.rate, self.state, self.known):
-            r[at] = p + ((full - p) >> 4)
-        fresh = (ids << 4).astype(np.int32) | 1
-        for kept, slot, got in ((self.two, self.slot2, self.got2), (self.one, self.slot1, self.got1)):
-            conf = got & 15
-            same = (got ^ fresh) < 16
-            same &= got > 0
-            # Confirmed: one step up; contradicted: half of it while there is some, else the new id.
-            kept[slot] = np.where(same, got + (conf < 15), np.where(conf > 1, (got ^ conf) | (conf >> 1), fresh))
-        self.before, self.last, self.id = self.id * 30011, ids * 40503, ids
+    def unpacked(cls, data: bytes) -> Model:
+        n, m, *weight = struct.unpack("<2I3i", data[:20])
+        ids, share, kept, gaps, share1, guess, level = _unpacked(data[20:], n, n, n, m, m, m, m)
+        upto, first = np.cumsum(gaps), np.cumsum(kept) - kept
+        follows = upto - np.repeat(np.concatenate([[0], upto])[first], kept)
+        return cls(np.cumsum(ids), share, kept, follows, share1, guess, level, np.array(weight, np.int64))
 
 
 class _Encoder:
-    """Range coder of n lanes: 48 bits of range, words of 16 bits; a carry stays in its word until the end."""
+    """Range coder of n lanes: 64 bits of range, words of 32 bits; a carry stays in its word until the end."""
 
     def __init__(self, n: int, words: int):
-        self.low, self.range = np.zeros(n, _U), np.full(n, (1 << 48) - 1, _U)
-        self.out, self.size = np.zeros((n, words), np.uint32), np.zeros(n, np.int64)
-
-    def step(self, low: np.ndarray, width: np.ndarray, lanes: np.ndarray | None, below: np.ndarray, count: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-        """low and range of some lanes (None: the first ones) after one symbol."""
-        r = width >> _U(bits)
-        low, width = low + r * below, r * count
-        small = np.flatnonzero(width < _U(1 << 32))
-        while len(small):
-            at, x = small if lanes is None else lanes[small], low[small]
-            size = self.size[at]
-            self.out[at, size] = x >> _U(32)
-            self.size[at] = size + 1
-            low[small] = (x & _U(0xFFFFFFFF)) << _U(16)
-            width[small] <<= _U(16)
-            small = small[width[small] < _U(1 << 32)]
-        return low, width
+        self.n, self.low, self.range = n, np.zeros(n, _U), np.full(n, (1 << 64) - 1, _U)
+        self.out, self.at = np.zeros(words * n, _U), np.arange(n)  # the first words of all lanes, then the second ones
+
+    def add(self, lanes, more: np.ndarray) -> None:
+        low = self.low[lanes]
+        new = low + more
+        over = (new < low).nonzero()[0]
+        if len(over):
+            self.out[self.at[lanes][over] - self.n] += _U(1)
+        self.low[lanes] = new
+
+    def flow(self, small: np.ndarray) -> None:
+        """Write a word from each of these lanes."""
+        x, at = self.low[small], self.at[small]
+        self.out[at] = x >> _HALF
+        self.at[small] = at + self.n
+        self.low[small] = x << _HALF
+        self.range[small] = self.range[small] << _HALF
 
     def finish(self) -> list[np.ndarray]:
-        for shift in (32, 16, 0):
-            self.out[np.arange(len(self.low)), self.size] = (self.low >> _U(shift)) & _U(0xFFFFFFFF if shift == 32 else 0xFFFF)
-            self.size += 1
-        for k in range(int(self.size.max()) - 1, 0, -1):
-            self.out[:, k - 1] += self.out[:, k] >> 16
-        self.out &= 0xFFFF
-        return [w[:n].astype("<u2") for w, n in zip(self.out, self.size)]
-
-
-class _Reader:
-    def __init__(self, words: list[np.ndarray]):
-        n = len(words)
-        sizes = np.array([len(w) for w in words])
-        self.words = np.zeros((n, int(sizes.max()) + 4), np.uint16)
-        for k, w in enumerate(words):
-            self.words[k, : len(w)] = w
-        self.range, self.place = np.full(n, (1 << 48) - 1, _U), np.full(n, 3, np.int64)
-        w = self.words[:, :3].astype(_U)
-        self.code = (w[:, 0] << _U(32)) | (w[:, 1] << _U(16)) | w[:, 2]
-
-    def step(self, code: np.ndarray, width: np.ndarray, lanes: np.ndarray | None) -> None:
-        """Read on where the range has become small; code and width of some lanes (None: the first ones) change in place."""
-        small = np.flatnonzero(width < _U(1 << 32))
-        while len(small):
-            at = small if lanes is None else lanes[small]
-            place = self.place[at]
-            code[small] = (code[small] << _U(16)) | self.words[at, np.minimum(place, self.words.shape[1] - 1)].astype(_U)
-            self.place[at] = place + 1
-            width[small] <<= _U(16)
-            small = small[width[small] < _U(1 << 32)]
-
-
-def _code(coder: _Encoder, lanes: np.ndarray, low: np.ndarray, count: np.ndarray, bits: int) -> None:
-    coder.low[lanes], coder.range[lanes] = coder.step(coder.low[lanes], coder.range[lanes], lanes, low, count, bits)
-
-
-def encode_blocks(blocks: list[np.ndarray], shares: Shares) -> list[np.ndarray]:
-    """The 16-bit words of each block of ids; blocks in order of falling length."""
-    if not blocks:
-        return []
-    sizes = np.array([len(b) for b in blocks])
-    steps = int(sizes.max())
-    ids = np.zeros((steps, len(blocks)), np.int64)
-    for k, b in enumerate(blocks):
-        ids[: len(b), k] = b
-    on = (sizes[None, :] > np.arange(steps)[:, None]).sum(axis=1).tolist()
-    model, coder = _Model(len(blocks), shares), _Encoder(len(blocks), 4 * steps + 8)
-    for t in range(steps):
-        best, chance = model.predict()
-        now = ids[t]
-        hit = best == now
-        n = on[t]  # blocks fall in length, so that those that still have ids come first
-        p, h = chance[:n].astype(_U), hit[:n]
-        coder.low[:n], coder.range[:n] = coder.step(coder.low[:n], coder.range[:n], None, np.where(h, _U(0), p), np.where(h, p, _U(4096) - p), 12)
-        miss = np.flatnonzero(~h)
-        has, other, state = model.other(miss)
-        if len(has):
-            lanes = miss[has]
-            p, h = np.clip(model.second[state], 32, 4064).astype(_U), other == now[lanes]
-            _code(coder, lanes, np.where(h, _U(0), p), np.where(h, p, _U(4096) - p), 12)
-            model.learn_other(state, h)
-            if h.any():
-                left = np.ones(len(miss), bool)
-                left[has[h]] = False
-                miss = miss[left]
-        x = now[miss]
-        _code(coder, miss, shares.below[x].astype(_U), shares.of[x].astype(_U), SHARE)
-        model.learn(now, hit)
+        for _ in range(2):
+            self.flow(np.arange(self.n))
+        size = self.at // self.n
+        out = self.out.reshape(-1, self.n)[: int(size.max())]
+        for k in range(len(out) - 1, 0, -1):
+            out[k - 1] += out[k] >> _HALF
+        return [w[:n] for w, n in zip(_turned(out.astype("<u4")), size)]
+
+
+def encode_blocks(states: np.ndarray, sizes: np.ndarray, model: Model) -> list[np.ndarray]:
+    """The 32-bit words of each block; states: those after each id, a row for each block; blocks in order of falling length."""
+    steps, lanes = int(sizes.max()), len(sizes)
+    on = (lanes - np.searchsorted(sizes[::-1], np.arange(steps), "right")).tolist()
+    coder = _Encoder(lanes, 2 * steps + 8)
+    last = np.full(lanes, model.start, np.int64)
+    for t in range(0, steps, TILE):
+        # What does not depend on the coder, for some steps at once.
+        now = states[:, t : t + TILE].T.astype(np.int64, order="C")
+        before = np.concatenate([last[None], now[:-1]])
+        last = now[-1]
+        told = model.state.take(before, mode="clip")
+        p = told & _CHANCE
+        failed = model.next.take(before, mode="clip") != now
+        hit, mask = (~failed).ravel().nonzero()[0], -failed.astype(np.int64)  # all bits of it where order 2 fails
+        told &= mask.view(_U)
+        skip, width, bits, entry = told & _CHANCE, _U(4096) - p, (told >> _U(13)) & _U(31), now & mask
+        width.ravel()[hit] = p.ravel()[hit]
+        away = (now >= model.n).ravel().nonzero()[0]
+        entry.ravel()[away] = model.way[before.ravel()[away]]
+        room = model.room.take(entry, mode="clip")
+        low, room = room >> _U(26), room & _ROOM
+        at = np.searchsorted(away, np.arange(len(now) + 1) * lanes).tolist()
+        rank = now.ravel()[away] - model.n
+        below, share, away = model.below[rank].astype(_U), model.share[rank].astype(_U), away % lanes
+        for k in range(len(now)):
+            n = on[t + k]
+            wide = coder.range[:n]
+            # Does the prediction of order 2 hold?  Where there is none, its chance is 0.
+            wide >>= _U(12)
+            more = wide * skip[k, :n]
+            wide *= width[k, :n]
+            # Order 1, where order 2 has not settled it.
+            wide >>= bits[k, :n]
+            more += wide * low[k, :n]
+            wide *= room[k, :n]
+            coder.add(slice(0, n), more)
+            coder.flow((wide < _FULL).nonzero()[0])
+            i, j = at[k], at[k + 1]
+            j = i + int(np.searchsorted(away[i:j], n))
+            if j > i:
+                left = away[i:j]
+                r = coder.range[left] >> _U(SHARE)
+                coder.add(left, r * below[i:j])
+                r *= share[i:j]
+                coder.range[left] = r
+                coder.flow(left[r < _FULL])
     return coder.finish()
 
 
-def decode_blocks(words: list[np.ndarray], sizes: np.ndarray, shares: Shares) -> list[np.ndarray]:
-    """The ids of each block; blocks in order of falling length."""
-    if not len(words):
-        return []
-    steps = int(sizes.max())
-    ids = np.zeros((steps, len(words)), np.int64)
-    on = (sizes[None, :] > np.arange(steps)[:, None]).sum(axis=1).tolist()
-    model, coder = _Model(len(words), shares), _Reader(words)
-
-    def decide(lanes, chance: np.ndarray) -> np.ndarray:
-        code, width, p = coder.code[lanes], coder.range[lanes] >> _U(12), chance.astype(_U)
-        bound = width * p
-        h = code < bound
-        code, width = np.where(h, code, code - bound), np.where(h, bound, width * (_U(4096) - p))
-        coder.step(code, width, None if isinstance(lanes, slice) else lanes)
-        coder.code[lanes], coder.range[lanes] = code, width
-        return h
-
-    for t in range(steps):
-        best, chance = model.predict()
-        n = on[t]
-        now = best.astype(np.int64)
-        h = decide(slice(0, n), chance[:n])
-        miss = np.flatnonzero(~h)
-        has, other, state = model.other(miss)
-        if len(has):
-            lanes = miss[has]
-            h = decide(lanes, np.clip(model.second[state], 32, 4064))
-            model.learn_other(state, h)
-            now[lanes[h]] = other[h]
-            if h.any():
-                left = np.ones(len(miss), bool)
-                left[has[h]] = False
-                miss = miss[left]
-        code, width = coder.code[miss], coder.range[miss] >> _U(SHARE)
-        x = shares.id_at(np.minimum(code // width, _U((1 << SHARE) - 1)).astype(np.int64))
-        code, width = code - width * shares.below[x].astype(_U), width * shares.of[x].astype(_U)
-        coder.step(code, width, miss)
-        coder.code[miss], coder.range[miss] = code, width
-        now[miss] = x
-        ids[t, :n] = now[:n]
-        model.learn(now, best == now)
-    return [ids[:n, k].astype("<u4") for k, n in enumerate(sizes)]
+class _Decoder:
+    """What lanes need to read ids: where each room of a row leads to, and each room of order 0."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.entry = np.repeat(np.arange(model.n, dtype=np.int32), model.wide)
+        self.rank = np.repeat(np.arange(len(model.ids), dtype=np.int32), model.share)
+
+    def blocks(self, words: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+        """The ids of each block, whose words begin there; blocks in order of falling length."""
+        model, steps, lanes = self.model, int(sizes.max()), len(sizes)
+        states = np.zeros((steps, lanes), np.int32)
+        on = (lanes - np.searchsorted(sizes[::-1], np.arange(steps), "right")).tolist()
+        all_code, all_wide, all_place = words[begin].astype(_U) << _HALF | words[begin + 1], np.full(lanes, (1 << 64) - 1, _U), begin + 2
+        share, below = model.share.astype(_U), model.below.astype(_U)
+        last = np.full(lanes, model.start, np.int64)
+
+        def flow(small):
+            at = place[small]
+            code[small] = code[small] << _HALF | words.take(at, mode="clip")
+            place[small] = at + 1
+            wide[small] = wide[small] << _HALF
+
+        for t in range(steps):
+            n = on[t]
+            code, wide, place, state = all_code[:n], all_wide[:n], all_place[:n], last[:n]
+            told = model.state.take(state, mode="clip")
+            p = told & _CHANCE
+            wide >>= _U(12)
+            bound = wide * p
+            hit = (code < bound).nonzero()[0]
+            hit_code, hit_wide = code[hit], bound[hit]
+            # All lanes go on as if order 2 had failed; those where it holds are put right afterwards.
+            code -= bound
+            wide *= _U(4096) - p
+            told >>= _U(13)
+            wide >>= told & _U(31)
+            told >>= _U(5)
+            told += code // wide
+            to = self.entry.take(told.view(np.int64), mode="clip").astype(np.int64)
+            room = model.room.take(to, mode="clip")
+            code -= wide * (room >> _U(26))
+            wide *= room & _ROOM
+            room[hit] = _ZERO
+            code[hit], wide[hit], to[hit] = hit_code, hit_wide, model.next.take(state[hit])
+            flow((wide < _FULL).nonzero()[0])
+            away = np.flatnonzero(room & _AWAY)
+            if len(away):
+                c, r = code[away], wide[away] >> _U(SHARE)
+                rank = self.rank.take((c // r).view(np.int64), mode="clip")
+                code[away] = c - r * below[rank]
+                r *= share[rank]
+                wide[away] = r
+                to[away] = rank + model.n
+                flow(away[r < _FULL])
+            states[t, :n] = to
+            last = to
+        ids = _turned(model.ids.astype("<u2").take(model.rank.astype(np.int32).take(np.minimum(states, len(model.rank) - 2))))
+        return [x[:n].astype("<u4") for x, n in zip(ids, sizes)]
 
 
 def write_segment(docs: list[int], sizes: np.ndarray, ids: np.ndarray, block: int = BLOCK) -> bytes:
@@ -306,12 +446,16 @@ def write_segment(docs: list[int], sizes: np.ndarray, ids: np.ndarray, block: in
     if len(ids) and ids.max() > 0xFFFF:
         raise ValueError("ids of more than 16 bits have no place in this format")
     blocks = [ids[k : k + block] for k in range(0, len(ids), block)]
+    lengths = np.array([len(b) for b in blocks], np.int64)
     words: list[np.ndarray] = []
-    shares = Shares.counted(ids)
+    model, flat = Model.counted(ids, block)
+    states = np.zeros((len(blocks), block), np.int32)
+    states.ravel()[: len(ids)] = flat
+    del flat
     for k in range(0, len(blocks), LANES):
-        words += encode_blocks(blocks[k : k + LANES], shares)
-    order0 = shares.packed()
-    head = MAGIC + struct.pack("<5I", VERSION, len(docs), len(ids), len(blocks), len(order0)) + order0
+        words += encode_blocks(states[k : k + LANES, : lengths[k]], lengths[k : k + LANES], model)
+    orders = model.packed()
+    head = MAGIC + struct.pack("<5I", VERSION, len(docs), len(ids), len(blocks), len(orders)) + orders
     head += np.array(docs, "<i8").tobytes() + np.asarray(sizes).astype("<u4").tobytes()
     head += np.array([(len(b), len(w), zlib.crc32(b.tobytes())) for b, w in zip(blocks, words)], "<u4").tobytes()
     body = head + b"".join(w.tobytes() for w in words)
@@ -325,17 +469,17 @@ def read_segment(data: bytes, only: int | None = None) -> tuple[np.ndarray, np.n
     version, n, total, count, size = struct.unpack("<5I", data[4:24])
     if version != VERSION:
         raise ValueError(f"version {version} of a segment is not known")
-    shares, head = Shares.unpacked(data[24 : 24 + size]), 24 + size
+    decoder, head = _Decoder(Model.unpacked(data[24 : 24 + size])), 24 + size
     docs = np.frombuffer(data, "<i8", n, head)
     sizes = np.frombuffer(data, "<u4", n, head + 8 * n)
     table_ = np.frombuffer(data, "<u4", 3 * count, head + 12 * n).reshape(-1, 3)
-    at = head + 12 * n + 12 * count + 2 * np.concatenate([[0], np.cumsum(table_[:, 1])]).astype(np.int64)
-    words = [np.frombuffer(data, "<u2", int(k), int(a)) for a, k in zip(at, table_[:, 1])]
+    words = np.append(np.frombuffer(data[head + 12 * n + 12 * count : -4], "<u4"), np.zeros(2, "<u4"))
+    begin = np.cumsum(table_[:, 1], dtype=np.int64) - table_[:, 1]
     chosen = range(count) if only is None else [only]
     out: list[np.ndarray] = []
     for k in range(0, len(chosen), LANES):
         part = chosen[k : k + LANES]
-        got = decode_blocks([words[i] for i in part], table_[part, 0].astype(np.int64), shares)
+        got = decoder.blocks(words, begin[part], table_[part, 0].astype(np.int64))
         for i, ids in zip(part, got):
             if zlib.crc32(ids.tobytes()) != table_[i, 2]:
                 raise ValueError(f"block {i} of a segment is damaged")

@@ -69,6 +69,13 @@ def test_texts_of_more_pieces_than_the_cache(reference, monkeypatch):
         assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [reference.encode_ordinary(t) for t in (text, "one")]
 
 
+def test_pieces_of_one_hash_are_told_apart(reference, monkeypatch):
+    monkeypatch.setattr(bpe, "span_hashes", lambda data, begin, end: np.full(len(begin), 5, np.uint64))
+    encoder = bpe.Bpe(bpe.Bpe.source_of_ranks(bpe.rank_file()))
+    for text in ["one two", "two one six", "sixes \u00e9one", "six two"]:
+        assert encoder.encode([text])[0].tolist() == reference.encode_ordinary(text)
+
+
 def test_round_trip_query(spark, reference):
     got = {r["_row"]["doc_id"]: r for r in bpe.round_trip(frame(spark, ODD)).collect()}
     for i, t in enumerate(ODD):
