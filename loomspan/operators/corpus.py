@@ -188,11 +188,14 @@ def round_robin(rows: DataFrame, most: int, seed: int = 17) -> DataFrame:
     return turn.orderBy("round", "queue", "trace_id").limit(most)
 
 
-def filled(extras: DataFrame, base: DataFrame, key: str, most: int, seed: int = 17) -> DataFrame:
-    """extras, then rows of base by rank up to `most` rows, in an order of ranks (draw)."""
+def filled(extras: DataFrame, base: DataFrame, key: str, most: int, seed: int = 17, over: bool = False) -> DataFrame:
+    """extras, then rows of base by rank up to `most` rows, in an order of ranks (draw).
+
+    Extras are never cut: more than `most` are an error or, with `over`, all that comes.
+    """
     n = extras.count()
-    if n > most:
+    if n > most and not over:
         raise ValueError("selected windows exceed max-train")
-    rest = base.withColumn("rank", stable_rank(seed, F.col(key).cast("string"))).orderBy("rank").limit(most - n)
+    rest = base.withColumn("rank", stable_rank(seed, F.col(key).cast("string"))).orderBy("rank").limit(max(0, most - n))
     both = extras.select(F.col(key).cast("string").alias("row")).unionByName(rest.select(F.col(key).cast("string").alias("row")))
     return both.withColumn("draw", stable_rank(seed + 1, F.col("row"))).orderBy("draw", "row")

@@ -131,8 +131,9 @@ def split_problems(spark, sf_dir):
 
 
 def filled_order(spark, sf_dir):
+    """Every tenth conversation, and others up to 40; larger tables have more than 40 of the first."""
     ids = _turns(spark, sf_dir).select("conv_id").distinct()
-    made = corpus.filled(ids.where("conv_id % 10 = 0"), ids.where("conv_id % 10 <> 0"), "conv_id", 40, SEED)
+    made = corpus.filled(ids.where("conv_id % 10 = 0"), ids.where("conv_id % 10 <> 0"), "conv_id", 40, SEED, over=True)
     return made.select("row", "draw")
 
 

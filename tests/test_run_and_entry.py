@@ -1,6 +1,7 @@
 """From logs to training data by the command line; streams; named queries against SQL."""
 
 import glob
+import hashlib
 import json
 import os
 
@@ -114,6 +115,13 @@ def test_query(spark, duck, name):
         assert got
 
 
+def test_filled_order_keeps_all_extras_of_a_larger_table(spark, tmp_path):
+    for n in (395, 450):  # 40 and 45 of them, where 40 rows are asked for
+        spark.range(n).selectExpr("id AS conv_id", "0 AS turn", "'user' AS role", "'x' AS text").write.parquet(f"{tmp_path}/{n}/conversations.parquet")
+        got = [(r["draw"], r["row"]) for r in rich.filled_order(spark, f"{tmp_path}/{n}").collect()]
+        assert got == sorted((hashlib.sha256(f"18\0{c}".encode()).hexdigest(), str(c)) for c in range(0, n, 10))
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).columns and set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
