@@ -1,7 +1,8 @@
 """Queries over logs: the turns of `conversations` written as each kind of log has them, scanned again, beside the same in SQL.
 
 Files are rows (path, content) that go through the scans as files of a folder
-do, with files among them that a scan must leave aside.
+do, with files among them that a scan must leave aside.  Databases and stores
+are rows (path, turns) whose bytes are made where they are parsed.
 """
 
 from __future__ import annotations
@@ -14,11 +15,9 @@ import struct
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.records import map_rows
 from ..sources.installs import scan_files
 from ..sources.published import converted_files
 
-_FILES = "path string, content binary"
 #: A character at which lines of text may end, but records do not.
 BREAK = "\u2028"
 
@@ -58,10 +57,10 @@ def _named(files: DataFrame):
     return of
 
 
-def _scanned(source: str, files: DataFrame, kinds: str) -> DataFrame:
+def _scanned(source: str, files: DataFrame, kinds: str, opened=None) -> DataFrame:
     """The conversations of a scan, as r by their schema."""
     schema = f"messages array<struct<role:string,content:string,{kinds}>>, session_id string, created_at string, updated_at string, project_path string, model string, status string, title string, tool_call_count long, tool_result_count long, diff_count long, token_usage map<string,double>, source string"
-    return scan_files(source, _named(files)).select("src_file", F.from_json("raw", schema).alias("r"))
+    return scan_files(source, _named(files), opened).select("src_file", F.from_json("raw", schema).alias("r"))
 
 
 def _said() -> Column:
@@ -177,13 +176,24 @@ def _chats(spark, sf_dir) -> DataFrame:
     return _turns(spark, sf_dir).groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
 
 
+def _no() -> Column:
+    """conv_id in a path; one that is null still has a file."""
+    return F.coalesce(F.col("conv_id").cast("string"), F.lit("None"))
+
+
+def _stores(spark, sf_dir, *paths: Column) -> DataFrame:
+    """A file of each path for each conversation, whose turns come in place of its content."""
+    path = paths[0] if len(paths) == 1 else F.explode(F.array(*paths))
+    return _chats(spark, sf_dir).select(path.alias("path"), F.lit(None).cast("binary").alias("content"), "conv_id", "turns")
+
+
 def scan_opencode_store(spark, sf_dir):
-    def store(r: dict) -> list[dict]:
+    def store(r: dict) -> bytes:
         entries = [(f"k{r['conv_id']}", {"session_id": f"s{r['conv_id']}", "title": "t", "messages": [{"role": t["role"], "content": t["text"]} for t in r["turns"]]}), ("other", {"no": 1}), ("text", "x")]
         data = b"".join(struct.pack("<I", len(k)) + k.encode() + struct.pack("<I", len(v)) + v for k, v in ((k, json.dumps(v).encode()) for k, v in entries))
-        return [{"path": f"/h/ai.opencode.app/{r['conv_id']}.dat", "content": data + struct.pack("<I", 50_000) + b"rest"}]
+        return data + struct.pack("<I", 50_000) + b"rest"
 
-    rows = _scanned("opencode", map_rows(_chats(spark, sf_dir), store, _FILES), "x string")
+    rows = _scanned("opencode", _stores(spark, sf_dir, F.concat(F.lit("/h/ai.opencode.app/"), _no(), F.lit(".dat"))), "x string", store)
     return rows.select(_conv(), F.size("r.messages").cast("long").alias("n_messages"), _said())
 
 
@@ -204,20 +214,21 @@ def _bubble(t: dict) -> dict:
 def scan_cursor(spark, sf_dir):
     """Four layouts: prompts and answers by place, composers and chat tabs of a workspace, and composers of the global store, with bubbles inline or apart."""
 
-    def files(r: dict) -> list[dict]:
+    def state(r: dict) -> bytes:
         c, turns = r["conv_id"], r["turns"]
         asked, answered = ([t for t in turns if t["role"] == role] for role in ("user", "assistant"))
-        work = {"ItemTable": [
+        work = lambda: {"ItemTable": [
             ("aiService.prompts", [{"text": t["text"], "commandType": 4} for t in asked]), ("aiService.generations", [{"text": t["text"], "model": "g"} for t in answered]),
             ("composer.composerData", {"allComposers": [{"composerId": f"s{c}", "name": "n", "modelConfig": {"modelName": "m"}, "conversation": [_bubble(t) for t in turns]}]}),
             ("workbench.panel.aichat.view.aichat.chatdata", {"tabs": [{"tabId": f"s{c}", "chatTitle": "t", "bubbles": [{"type": "user" if t["role"] == "user" else "ai", "rawText": t["text"]} for t in turns]}, {"bubbles": []}]})]}
         inline = c % 2 == 0
         composer = {"composerId": f"s{c}", "status": "done", "createdAt": 3} | ({"conversation": [_bubble(t) for t in turns]} if inline else {"conversation": []})
         kv = {"cursorDiskKV": [(f"composerData:s{c}", composer), ("composerData:bad", "{"), *((f"bubbleId:s{c}:b{t['turn']:06}", _bubble(t)) for t in turns), ("bubbleId:zz:b1", {"type": 1, "text": "of nobody"})]}
-        base = f"/h/{c}/Cursor/User/"
-        return [{"path": base + f"workspaceStorage/w{c}/state.vscdb", "content": _database(work)}, {"path": base + "globalStorage/state.vscdb", "content": _database(kv)}, {"path": base + "workspaceStorage/ext-dev/state.vscdb", "content": _database(work)}]
+        return _database(kv if "/globalStorage/" in r["path"] else work())
 
-    rows = scan_files("cursor", _named(map_rows(_chats(spark, sf_dir), files, _FILES))).select("src_file", F.from_json("raw", "source string, messages array<struct<role:string,content:string>>, has_diffs boolean, storage_type string").alias("r"))
+    at = lambda *place: F.concat(F.lit("/h/"), _no(), F.lit("/Cursor/User/"), *place, F.lit("/state.vscdb"))
+    files = _stores(spark, sf_dir, at(F.lit("workspaceStorage/w"), _no()), at(F.lit("globalStorage")), at(F.lit("workspaceStorage/ext-dev")))
+    rows = scan_files("cursor", _named(files), state).select("src_file", F.from_json("raw", "source string, messages array<struct<role:string,content:string>>, has_diffs boolean, storage_type string").alias("r"))
     conv = F.regexp_extract("src_file", r"^/h/(\d+)/", 1).cast("long").alias("conv_id")
     told = rows.select(conv, F.col("r.source").alias("source"), F.col("r.messages").alias("m"), F.coalesce("r.has_diffs", F.lit(False)).alias("diffs"), F.coalesce("r.storage_type", F.lit("none")).alias("storage"))
     return told.groupBy("conv_id", "source", "storage").agg(F.count("*").alias("conversations"), F.sum(F.size("m")).alias("n_messages"), F.sum(F.aggregate("m", F.lit(0), lambda a, x: a + F.length(x["content"]))).alias("chars"),
@@ -225,30 +236,32 @@ def scan_cursor(spark, sf_dir):
 
 
 def scan_trae(spark, sf_dir):
-    def store(r: dict) -> list[dict]:
+    def store(r: dict) -> bytes:
         said = [{"role": t["role"], "content": t["text"]} for t in r["turns"]]
         table = {"ItemTable": [("a.chat.x", {"messages": said, "session_id": f"d{r['conv_id']}"}), ("b.agent", {"conversation": [*said, {"no": "role"}], "session_id": f"e{r['conv_id']}"}), ("other", {"messages": said}), ("c.chat", "not json")]}
-        return [{"path": f"/h/.trae/{r['conv_id']}.vscdb", "content": _database(table)}]
+        return _database(table)
 
     turns = _turns(spark, sf_dir)
     kind = F.when(_is("user"), "user_message").when(_is("assistant"), "agent").otherwise("note")
     head = F.concat(F.lit('{"type":"metadata","data":{"session_id":"s'), "conv_id", F.lit('"}}\n'))
     logs = _files(turns, F.concat(F.lit("/h/.trae/projects/"), "conv_id", F.lit(".jsonl")), _json(type=kind, message=F.col("text")), head)
-    rows = _scanned("trae", logs.unionByName(map_rows(_chats(spark, sf_dir), store, _FILES)), "x string")
+    stores = _stores(spark, sf_dir, F.concat(F.lit("/h/.trae/"), _no(), F.lit(".vscdb")))
+    rows = _scanned("trae", logs.unionByName(stores, allowMissingColumns=True), "x string", store)
     return rows.select(_conv(), F.substring("r.session_id", 1, 1).alias("kind"), F.size("r.messages").cast("long").alias("n_messages"), _said())
 
 
 def scan_windsurf(spark, sf_dir):
-    def files(r: dict) -> list[dict]:
+    def state(r: dict) -> bytes:
         c, turns = r["conv_id"], r["turns"]
         tabs = {"tabs": [{"tabId": f"s{c}", "bubbles": [{"type": "user" if t["role"] == "user" else "ai", "text": t["text"]} for t in turns]}]}
         key = ("aiChat.chatdata", "cascade.chatdata")[c % 2]
         agent = {"conversation": [{"role": t["role"], "text": t["text"]} for t in turns], "name": f"s{c}"}
-        base = f"/h/{c}/Windsurf/User/"
-        return [{"path": base + f"workspaceStorage/w{c}/state.vscdb", "content": _database({"ItemTable": [(key, tabs), ("chat.data" if c % 2 == 0 else "zz", {"tabs": []})]})},
-                {"path": base + "globalStorage/state.vscdb", "content": _database({"ItemTable": [("x.cascade.y", agent)], "cursorDiskKV": [("flowData:1", agent), ("none:1", agent)]})}]
+        if "/globalStorage/" in r["path"]:
+            return _database({"ItemTable": [("x.cascade.y", agent)], "cursorDiskKV": [("flowData:1", agent), ("none:1", agent)]})
+        return _database({"ItemTable": [(key, tabs), ("chat.data" if c % 2 == 0 else "zz", {"tabs": []})]})
 
-    rows = scan_files("windsurf", _named(map_rows(_chats(spark, sf_dir), files, _FILES))).select("src_file", F.from_json("raw", "source string, messages array<struct<role:string,content:string>>").alias("r"))
+    at = lambda *place: F.concat(F.lit("/h/"), _no(), F.lit("/Windsurf/User/"), *place, F.lit("/state.vscdb"))
+    rows = scan_files("windsurf", _named(_stores(spark, sf_dir, at(F.lit("workspaceStorage/w"), _no()), at(F.lit("globalStorage")))), state).select("src_file", F.from_json("raw", "source string, messages array<struct<role:string,content:string>>").alias("r"))
     told = rows.select(F.regexp_extract("src_file", r"^/h/(\d+)/", 1).cast("long").alias("conv_id"), F.col("r.source").alias("source"), F.size("r.messages").cast("long").alias("n_messages"), _said())
     return told.groupBy("conv_id", "source", "n_messages", "said_sha256").agg(F.count("*").alias("conversations"))
 

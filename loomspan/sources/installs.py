@@ -65,8 +65,8 @@ def scan(spark: SparkSession, source: str, roots: list[str]) -> DataFrame:
     return scan_files(source, lambda glob: whole_files(spark, roots, glob))
 
 
-def scan_files(source: str, named: Callable[[str], DataFrame]) -> DataFrame:
-    """As scan, of files (path, content); named gives those whose names fit a glob."""
+def scan_files(source: str, named: Callable[[str], DataFrame], opened: Callable[[dict], bytes] | None = None) -> DataFrame:
+    """As scan, of files (path, content); named gives those whose names fit a glob, opened the content of databases and stores where it is no column."""
     files = lambda glob, *paths: _only(named(glob), *paths)
     if source == "claude_code":
         return parsed(named("*.jsonl").where(~F.element_at(F.split("path", "/"), -1).startswith("agent-")), sessions.claude_code)
@@ -77,11 +77,11 @@ def scan_files(source: str, named: Callable[[str], DataFrame]) -> DataFrame:
     if source == "gemini":
         return parsed(files("session-*.json", "%/tmp/%/chats/session-%.json"), sessions.gemini)
     if source in ("cursor", "windsurf"):
-        return parsed(files("state.vscdb", "%/User/workspaceStorage/%/state.vscdb", "%/User/globalStorage/state.vscdb"), getattr(databases, source))
+        return parsed(files("state.vscdb", "%/User/workspaceStorage/%/state.vscdb", "%/User/globalStorage/state.vscdb"), getattr(databases, source), opened)
     if source == "trae":
-        return parsed(files("*.jsonl", "%/projects/%.jsonl", "%/sessions/%.jsonl"), sessions.trae_jsonl).unionByName(parsed(named("*.{db,vscdb}"), databases.trae))
+        return parsed(files("*.jsonl", "%/projects/%.jsonl", "%/sessions/%.jsonl"), sessions.trae_jsonl).unionByName(parsed(named("*.{db,vscdb}"), databases.trae, opened))
     if source == "opencode":
-        return _opencode_cli(named("*.json")).unionByName(parsed(named("*.dat"), sessions.opencode_store))
+        return _opencode_cli(named("*.json")).unionByName(parsed(named("*.dat"), sessions.opencode_store, opened))
     raise ValueError(f"unknown source: {source}")
 
 

@@ -49,13 +49,18 @@ def whole_files(spark: SparkSession, roots: list[str], glob: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(found).select(F.regexp_replace("path", "^file:/+", "/").alias("path"), "content")
 
 
-def parsed(files: DataFrame, make) -> DataFrame:
-    """src_file, line_no, raw of the conversations (JSON texts) that make(path, content) yields for each file; a file that cannot be read yields none."""
+def parsed(files: DataFrame, make, opened=None) -> DataFrame:
+    """src_file, line_no, raw of the conversations (JSON texts) that make(path, content) yields for each file; a file that cannot be read yields none.
+
+    The content is the column of that name or, where it is set, opened(row): files
+    that are made from rows need not pass from one Python worker to another.
+    """
 
     def one(r: dict) -> list[dict]:
+        content = opened(r) if opened else r["content"]
         try:
-            return [{"src_file": r["path"], "line_no": i, "raw": raw} for i, raw in enumerate(make(r["path"], r["content"]), 1)]
+            return [{"src_file": r["path"], "line_no": i, "raw": raw} for i, raw in enumerate(make(r["path"], content), 1)]
         except Exception:  # noqa: BLE001 - one broken log must not end the scan of the others
             return []
 
-    return map_rows(files, one, LINES)
+    return map_rows(files if opened else files.select("path", "content"), one, LINES)

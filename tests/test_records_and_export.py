@@ -5,11 +5,12 @@ import hmac
 import json
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from loomspan.config import ExportConfig
-from loomspan.functions.records import TRACE, flatten_message, trace_of, traces, traces_of_turns
+from loomspan.functions.records import TRACE, arrow_schema, flatten_message, map_rows, trace_of, traces, traces_of_turns
 from loomspan.functions.text import glob_regex, hmac_sha256, parse_bound, stable_rank
 from loomspan.operators import export
 
@@ -140,3 +141,17 @@ def test_scalar_functions(spark):
     for pattern, yes, no in (("a*[!x].py", "ab/c.py", "ab/x.py"), ("?[ab]", "zb", "zc"), ("a.b", "a.b", "axb"), ("[", "[", "x")):
         got = spark.range(1).select(F.lit(yes).rlike(glob_regex(pattern)), F.lit(no).rlike(glob_regex(pattern))).first()
         assert tuple(got) == (True, False), pattern
+
+
+def test_map_rows_holds_few_large_rows_at_a_time():
+    class Frame:
+        columns = ["k", "text"]
+
+        def mapInArrow(self, run, kinds):
+            return run
+
+    run = map_rows(Frame(), lambda r: [r], "k long, text string")
+    for length, most in ((1 << 20, 2), (10, 256)):
+        batch = pa.RecordBatch.from_pylist([{"k": k, "text": "x" * length} for k in range(300 if length == 10 else 12)], arrow_schema("k long, text string"))
+        made = list(run(iter([batch, batch.slice(0, 0)])))
+        assert max(b.num_rows for b in made) <= most and pa.Table.from_batches(made).to_pylist() == batch.to_pylist()

@@ -122,6 +122,13 @@ def test_filled_order_keeps_all_extras_of_a_larger_table(spark, tmp_path):
         assert got == sorted((hashlib.sha256(f"18\0{c}".encode()).hexdigest(), str(c)) for c in range(0, n, 10))
 
 
+@pytest.mark.parametrize("name, steps", [("scan_trae", 2), ("scan_opencode_store", 2), ("scan_cursor", 1), ("scan_windsurf", 1)])
+def test_files_are_made_where_they_are_parsed(spark, name, steps):
+    """A Python step for each kind of file, and none that feeds another: their workers would run, and hold batches of whole files, side by side."""
+    plan = log_queries.QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == steps
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).columns and set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
