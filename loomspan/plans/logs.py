@@ -216,15 +216,14 @@ def scan_cursor(spark, sf_dir):
 
     def state(r: dict) -> bytes:
         c, turns = r["conv_id"], r["turns"]
+        if "/globalStorage/" in r["path"]:
+            composer = {"composerId": f"s{c}", "status": "done", "createdAt": 3} | ({"conversation": [_bubble(t) for t in turns]} if c % 2 == 0 else {"conversation": []})
+            return _database({"cursorDiskKV": [(f"composerData:s{c}", composer), ("composerData:bad", "{"), *((f"bubbleId:s{c}:b{t['turn']:06}", _bubble(t)) for t in turns), ("bubbleId:zz:b1", {"type": 1, "text": "of nobody"})]})
         asked, answered = ([t for t in turns if t["role"] == role] for role in ("user", "assistant"))
-        work = lambda: {"ItemTable": [
+        return _database({"ItemTable": [
             ("aiService.prompts", [{"text": t["text"], "commandType": 4} for t in asked]), ("aiService.generations", [{"text": t["text"], "model": "g"} for t in answered]),
             ("composer.composerData", {"allComposers": [{"composerId": f"s{c}", "name": "n", "modelConfig": {"modelName": "m"}, "conversation": [_bubble(t) for t in turns]}]}),
-            ("workbench.panel.aichat.view.aichat.chatdata", {"tabs": [{"tabId": f"s{c}", "chatTitle": "t", "bubbles": [{"type": "user" if t["role"] == "user" else "ai", "rawText": t["text"]} for t in turns]}, {"bubbles": []}]})]}
-        inline = c % 2 == 0
-        composer = {"composerId": f"s{c}", "status": "done", "createdAt": 3} | ({"conversation": [_bubble(t) for t in turns]} if inline else {"conversation": []})
-        kv = {"cursorDiskKV": [(f"composerData:s{c}", composer), ("composerData:bad", "{"), *((f"bubbleId:s{c}:b{t['turn']:06}", _bubble(t)) for t in turns), ("bubbleId:zz:b1", {"type": 1, "text": "of nobody"})]}
-        return _database(kv if "/globalStorage/" in r["path"] else work())
+            ("workbench.panel.aichat.view.aichat.chatdata", {"tabs": [{"tabId": f"s{c}", "chatTitle": "t", "bubbles": [{"type": "user" if t["role"] == "user" else "ai", "rawText": t["text"]} for t in turns]}, {"bubbles": []}]})]})
 
     at = lambda *place: F.concat(F.lit("/h/"), _no(), F.lit("/Cursor/User/"), *place, F.lit("/state.vscdb"))
     files = _stores(spark, sf_dir, at(F.lit("workspaceStorage/w"), _no()), at(F.lit("globalStorage")), at(F.lit("workspaceStorage/ext-dev")))
